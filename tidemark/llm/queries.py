@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import bpe, mixing
 
-QUERIES = {"op8_mixing": mixing.query}
+QUERIES = {"op8_mixing": mixing.query, "op9_bpe": bpe.query}
 ORACLES = {"op8_mixing": mixing.SQL}
