@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, mixing
+from tidemark.llm import bpe, mixing, rules, toxicity
 
-QUERIES = {"op8_mixing": mixing.query, "op9_bpe": bpe.query}
+QUERIES = {"op1_rules": rules.query, "op5_toxicity": toxicity.query, "op8_mixing": mixing.query, "op9_bpe": bpe.query}
 ORACLES = {"op8_mixing": mixing.SQL}
