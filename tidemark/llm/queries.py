@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, cotraining, language, mixing, rules, toxicity
+from tidemark.llm import bpe, cotraining, language, mixing, neardup, rules, toxicity
 
-QUERIES = {"op1_rules": rules.query, "op2_language": language.query, "op5_toxicity": toxicity.query, "op6_cotraining": cotraining.query, "op8_mixing": mixing.query, "op9_bpe": bpe.query}
+QUERIES = {"op1_rules": rules.query, "op2_language": language.query, "op4_neardup": neardup.query, "op5_toxicity": toxicity.query, "op6_cotraining": cotraining.query, "op8_mixing": mixing.query, "op9_bpe": bpe.query}
 ORACLES = {"op8_mixing": mixing.SQL}
