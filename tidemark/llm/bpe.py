@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows, table, utf8
 
 #: Words kept per Python worker, in each of two generations.
-CACHE = 150_000
+CACHE = 300_000
 END = "</w>"
 #: A word's last character is moved up by this, so that "ends a word" is part of the alphabet.
 LAST = 0x1000
@@ -96,11 +96,11 @@ class PrefixEncoder:
         self.token |= {i: t for t, i in self.special.items()}
         library = Tokenizer.from_file(path)
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        # The character that stands for each byte, and the ASCII reading of the file's splitting pattern.
+        # The character that stands for each byte, and the Latin-1 reading of the file's splitting pattern.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = (b for b in range(256) if b not in set(plain))
-        self.char = {chr(b): chr(b) for b in plain} | {chr(b): chr(256 + i) for i, b in enumerate(others)}
-        self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+        self.char = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.latin = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
         self.special_at = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
 
         ids = sorted(i for i in vocab.values())
@@ -114,7 +114,7 @@ class PrefixEncoder:
                 self.rank[vocab[a], vocab[b]] = r
                 self.parts.setdefault(whole, (vocab[a], vocab[b], r))
         self.sound_memo: dict[int, bool] = {}
-        self.follows_memo: dict[tuple[int, int], bool] = {}
+        self.follows_memo: dict[int, bool] = {}
         automaton = SuffixAutomaton(texts)
         self.go, self.link, self.lengths = automaton.go, automaton.link, automaton.length
         self.cut = {i: len(t) for i, t in zip(ids, texts, strict=True)}
@@ -156,11 +156,9 @@ class PrefixEncoder:
         return known
 
     def follows(self, a: int, b: int) -> bool:
-        known = self.follows_memo.get((a, b))
-        if known is None:
-            if len(self.follows_memo) > 4 * CACHE:
-                self.follows_memo.clear()
-            known = self.follows_memo[a, b] = self._apart(a, b, float("inf"))
+        if len(self.follows_memo) > 4 * CACHE:
+            self.follows_memo.clear()
+        known = self.follows_memo[a << 20 | b] = self._apart(a, b, float("inf"))
         return known
 
     def piece(self, chars: str) -> list[int]:
@@ -169,27 +167,33 @@ class PrefixEncoder:
             return []
         word = chars[:-1] + chr(LAST + ord(chars[-1]))
         follows, memo, cut = self.follows, self.follows_memo, self.cut
-        state = length = 0
+        go, link, lengths, ending = self.go, self.link, self.lengths, self.ending
+        state = length = i = 0
         last = [-1]
-        for i, c in enumerate(word, 1):
-            while state and c not in self.go[state]:
-                state = self.link[state]
-                length = self.lengths[state]
-            state = self.go[state].get(c, 0)
-            length = length + 1 if state else 0
+        for c in word:
+            i += 1
+            to = go[state].get(c)
+            while to is None and state:
+                state = link[state]
+                length = lengths[state]
+                to = go[state].get(c)
+            if to is None:
+                state = length = 0
+            else:
+                state = to
+                length += 1
             found = -1
-            for token, n in self.ending[state]:
+            for token, n in ending[state]:
                 if n <= length:
-                    before = last[i - n]
-                    if before < 0:
-                        ok = i == n
-                    else:
-                        ok = memo.get((before, token))
-                        if ok is None:
-                            ok = follows(before, token)
-                    if ok:
+                    if i == n:
                         found = token
                         break
+                    before = last[i - n]
+                    if before >= 0:
+                        ok = memo.get(before << 20 | token)
+                        if ok or (ok is None and follows(before, token)):
+                            found = token
+                            break
             last.append(found)
         out, i = [], len(word)
         while i:
@@ -214,8 +218,8 @@ class PrefixEncoder:
         return got
 
     def _plain(self, text: str) -> list[Found]:
-        if text.isascii():
-            return [self._piece(p if p.isalnum() else "".join(map(self.char.__getitem__, p))) for p in self.ascii.findall(text.lower())]
+        if text.isascii() or max(text) < "\u0100":  # in Latin-1 nothing composes, and lower case is a character each
+            return [self._piece(p if p.isalnum() and p.isascii() else p.encode().decode("latin-1").translate(self.char)) for p in self.latin.findall(text.lower())]
         return [self._piece(p) for p, _ in self.split(self.normalise(text))]
 
     def word(self, text: str) -> list[Found]:
