@@ -265,9 +265,14 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
         of = encoder(path).of
+        last: tuple = (None, ())
         for key, raw in docs:
+            if raw == last[0]:  # copies of a row often follow it
+                yield key, *last[1]
+                continue
             got = [g for w in raw.split() if (g := of(w))[0]]
-            yield key, sum(g[0] for g in got), b" ".join([g[1] for g in got]), b" ".join([g[2] for g in got])
+            last = raw, (sum(g[0] for g in got), b" ".join([g[1] for g in got]), b" ".join([g[2] for g in got]))
+            yield key, *last[1]
 
     out = map_rows(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")), rows, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded binary", chunk=500)
     return out.select("doc_id", "n_tokens", F.col("ids").cast("string"), F.col("decoded").cast("string"))

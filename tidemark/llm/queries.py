@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, cotraining, language, mixing, neardup, rules, toxicity
+import corpus_pipeline
+from tidemark.llm import bpe, cotraining, language, mixing, neardup, repeats, rules, toxicity
 
-QUERIES = {"op1_rules": rules.query, "op2_language": language.query, "op4_neardup": neardup.query, "op5_toxicity": toxicity.query, "op6_cotraining": cotraining.query, "op8_mixing": mixing.query, "op9_bpe": bpe.query}
+QUERIES = {"op1_rules": rules.query, "op2_language": language.query, "op3_repeats": repeats.query, "op4_neardup": neardup.query, "op5_toxicity": toxicity.query, "op6_cotraining": cotraining.query, "op8_mixing": mixing.query,
+    "op9_bpe": bpe.query, "pipeline": corpus_pipeline.run}
 ORACLES = {"op8_mixing": mixing.SQL}
