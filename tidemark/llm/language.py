@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +57,18 @@ class Network:
     def log10(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the classes ``after``."""
         out = np.empty(len(after))
-        for at in range(0, len(after), 4096):
-            b, a = before[at : at + 4096], after[at : at + 4096]
-            s = self.context(b) @ self.outer.T
-            s += self.bias
-            own = s[np.arange(len(a)), a]
-            top = s.max(1)
-            s -= top[:, None]
+        outer = np.ascontiguousarray(np.concatenate([self.outer, self.bias[:, None]], 1).T)
+        for at in range(0, len(after), 2048):
+            b, a = before[at : at + 2048], after[at : at + 2048]
+            h = np.ones((len(a), WIDTH + 1), np.float32)
+            h[:, :WIDTH] = self.context(b)
+            s = h @ outer
+            own = s[np.arange(len(a)), a].astype(np.float64)
+            top = max(0.0, float(s.max()) - 60)  # float32 holds exp(60)
+            if top:
+                s -= top
             np.exp(s, out=s)
-            out[at : at + 4096] = (own - top - np.log(s.sum(1))) / np.log(10)
+            out[at : at + 2048] = (own - top - np.log(s.sum(1, dtype=np.float32))) / np.log(10)
         return out
 
 
@@ -132,11 +136,12 @@ class Lexicon:
     texts: int
     share: np.ndarray  # of each class among training tokens, smoothed
     within: np.ndarray  # add-one denominators of the shared classes, 1 for the others
+    least: int  # the KNOWN words are all with this count or more
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(places, -1 if not KNOWN; classes)"""
         get = self.place.get
-        places = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        places = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         classes = self.classes[places] if len(self.classes) else np.zeros(len(words), np.int16)
         for i in np.flatnonzero(places < 0):
             classes[i] = shared_class(words[i])
@@ -159,9 +164,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def lexicon(counted: DataFrame, texts: int) -> Lexicon:
-    """To the driver go the KNOWN commonest words and sums for each shared class."""
-    top = counted.orderBy(F.desc("c"), "word").limit(KNOWN).toPandas()
-    words, counts = [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+    """To the driver go the commonest words, KNOWN of them at most, and sums for each shared class."""
+    steps = counted.groupBy(F.floor(64 * F.log2("c")).alias("step")).agg(F.count("*").alias("words"), F.min("c").alias("c")).collect()  # 64 for each power of 2
+    least, room = 1, KNOWN
+    for r in sorted(steps, reverse=True):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["c"]
+    top = counted.where(F.col("c") >= least).toArrow() if steps and sorted(steps)[-1]["words"] <= KNOWN else counted.limit(0).toArrow()
+    count, word = top.column("c").to_numpy(), top.column("word").to_pylist()
+    order = sorted(range(len(word)), key=lambda i: (-count[i], word[i]))
+    words, counts = [word[i] for i in order], count[order].astype(np.int64)
+    least = least if words else 1 << 62
     suffix = (F.crc32(F.expr("substring(word, -2, 2)")) % SHARED).cast("int")
     by = {r["k"]: (r["n"], r["v"]) for r in counted.groupBy(suffix.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     n, v = np.zeros(SHARED), np.zeros(SHARED)
@@ -175,7 +190,7 @@ def lexicon(counted: DataFrame, texts: int) -> Lexicon:
     size = np.concatenate([np.zeros(OWN), [texts], n])
     size[: min(OWN, len(words))] = counts[:OWN]
     share = (size + 0.5) / (size + 0.5).sum()
-    return Lexicon({w: i for i, w in enumerate(words)}, classes, counts, total, distinct, texts, share, np.concatenate([np.ones(OWN + 1), n + v + 1]))
+    return Lexicon({w: i for i, w in enumerate(words)}, classes, counts, total, distinct, texts, share, np.concatenate([np.ones(OWN + 1), n + v + 1]), least)
 
 
 def train(docs: DataFrame, words: Lexicon) -> Network:
@@ -274,10 +289,8 @@ def scored(docs: DataFrame, counted: DataFrame, words: Lexicon, net: Network, do
 
     first = map_rows(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("raw")), rows, f"doc_id {kind}, n_tokens long, n_known long, grown double, score double, rest array<binary>", chunk=500)
     first = stored(first.withColumn("row", F.monotonically_increasing_id()))
-    known = sent.value[0].place
     rest = first.select("row", F.explode("rest").alias("word")).groupBy("word", "row").agg(F.count("*").alias("times"))
-    fewest = int(words.counts[-1]) if len(known) >= KNOWN else 0
-    rarer = counted.where(F.col("c") <= fewest)  # the other words are all KNOWN
+    rarer = counted.where(F.col("c") < words.least)
     joined = rest.join(rarer, "word", "left").where("c is not null")
     sums = joined.groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_grown"))
     out = first.drop("rest").join(sums, "row", "left")
