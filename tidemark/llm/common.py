@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -53,11 +54,11 @@ def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, c
 
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
-    width = len(struct)
 
     def tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+            for at in range(0, b.num_rows, 256):
+                yield from zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -68,11 +69,19 @@ def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, c
                 held = []
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow, strict=True)], schema=arrow)
+        hand_back()
 
-    assert width
     return df.mapInArrow(run, struct)
 
 
+def hand_back() -> None:
+    """Freed memory of this worker goes back to the system: it stays alive between tasks, and would keep the largest task's."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fit_logistic, map_rows, sigmoid, table, utf8
+from tidemark.llm.common import fit_logistic, hand_back, map_rows, sigmoid, table, utf8
 from tidemark.llm.rules import sampled_labels
 from tidemark.llm.stats import features, text_stats
 
@@ -152,6 +152,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             part = slice(at, at + 1000)
             chars_ = [None if pd.isna(c) else int(c) for c in chars[part]]
             out.append(model.score(*_views(list(zip(map(text_stats, text[part]), lang[part], source[part], chars_, strict=True)))))
+        hand_back()
         return pd.Series(np.concatenate(out) if out else [], dtype=float)
 
     return docs.withColumn("_tm_score", score(utf8("text"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long")))

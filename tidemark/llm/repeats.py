@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, stored, table, utf8
+from tidemark.llm.common import hand_back, map_rows, stored, table, utf8
 from tidemark.llm.hashing import mix
 from tidemark.llm.suffixes import suffixes
 
 LENGTH, GRAM = 100, 32
 WINDOW = LENGTH - GRAM + 1  # grams in a string
 #: Bytes of text that anchors are looked for at once, and distinct bytes that a suffix sort takes together (one anchor's contexts may be more).
-CHUNK, SORTED = 1 << 21, 1 << 21
+CHUNK, SORTED = 1 << 19, 1 << 20
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=_U))
@@ -34,7 +34,6 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(np.full(n, base & 0xFFFFFFFFFFFFFFFF, _U))
 
 
-_SPAN = CHUNK + 2 * LENGTH + 1
 _TABLES: list[np.ndarray] = []
 
 
@@ -132,7 +131,8 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
     NAMES = ["key", "first", "known", "gram", "row", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from find(t for b in batches for t in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from find(t for b in batches for at in range(0, b.num_rows, 256) for t in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True))
+        hand_back()
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows in order of key and gram: keeps those whose gram has a second place, or is known to have one elsewhere."""
@@ -203,7 +203,7 @@ def contexts(texts: DataFrame) -> DataFrame:
                     best[key], other = min(had, at), max(had, at)
                     spans.setdefault(other[:2], []).append((other[2], other[2] + hi - lo))
                 size += 1
-            if size > 200_000:
+            if size > 50_000:
                 yield from flush()
                 size = 0
         yield from flush()
