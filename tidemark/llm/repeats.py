@@ -97,6 +97,11 @@ def _batches(docs: Iterator[tuple]) -> Iterator[list[tuple[tuple, int, bytes]]]:
         yield held
 
 
+def _with_end(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
+
+
 def repeated_anchors(rows: DataFrame) -> DataFrame:
     """(row, places) with the anchors, of rows (row, raw), that the corpus has twice or more.
 
@@ -124,41 +129,40 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
             more[:-1] = ~first[1:]
             known = more | ~first
             key = np.where(first, g, mix((o ^ p).view(_U)).view(np.int64))
+            packed = np.where(first, 2 * p + known, -1 - p)  # the others are known all
             for a in range(0, len(g), 100_000):
                 s = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(first[s]), pa.array(known[s]), pa.array(g[s]), pa.array(o[s]), pa.array(p[s].astype(np.int64))], names=NAMES)
-
-    NAMES = ["key", "first", "known", "gram", "row", "place"]
+                yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(o[s]), pa.array(packed[s])], names=["key", "row", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from find(t for b in batches for at in range(0, b.num_rows, 256) for t in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True))
         hand_back()
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows in order of key and gram: keeps those whose gram has a second place, or is known to have one elsewhere."""
-        kept: list = [None, None, None, False]  # the last gram's first row, waiting
-        for b in batches:
-            first, known, gram, row, place = (b.column(k).to_numpy(zero_copy_only=False) for k in range(1, 6))
-            if not len(gram):
+        """Rows in order of key: keeps those whose anchor has a second place, or is known to have one elsewhere."""
+        key, row, packed = (np.zeros(0, np.int64) for _ in range(3))
+        last = False
+        for b in _with_end(batches):
+            # the last row waits, for whether the next has its key
+            new = (np.zeros(0, np.int64),) * 3 if b is None else tuple(b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            key, row, packed = (np.concatenate(x) for x in zip((key, row, packed), new, strict=True))
+            if not len(key):
                 continue
-            # a first row is kept if it is known, or if the row before or after it is a first row of the same gram
-            g = np.concatenate([[kept[0] if kept[0] is not None else 0], gram])
-            f = np.concatenate([[kept[0] is not None], first])
-            k = np.concatenate([[kept[3]], known])
-            r = np.concatenate([[kept[1] or 0], row])
-            p = np.concatenate([[kept[2] or 0], place])
-            same = (g[1:] == g[:-1]) & f[1:] & f[:-1]
-            k[1:] |= same
-            k[:-1] |= same
-            out = np.flatnonzero(k[:-1])
-            if len(out):
-                yield pa.RecordBatch.from_arrays([pa.array(r[out]), pa.array(p[out])], names=["row", "place"])
-            kept = [g[-1], r[-1], p[-1], bool(k[-1])] if f[-1] else [None, r[-1], p[-1], bool(k[-1])]
-        if kept[3]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([kept[1]], np.int64)), pa.array(np.array([kept[2]], np.int64))], names=["row", "place"])
-
-    found = rows.select("row", "raw").mapInArrow(run, "key long, first boolean, known boolean, gram long, row long, place long")
-    met = found.repartition("key").sortWithinPartitions("key", "gram", "first").mapInArrow(again, "row long, place long")
+            own = packed >= 0
+            same = (key[1:] == key[:-1]) & own[1:] & own[:-1]
+            keep = ~own | (packed & 1 == 1)
+            keep[0] |= last
+            keep[1:] |= same
+            keep[:-1] |= same
+            last = bool(same[-1]) if len(same) else last
+            end = len(key) if b is None else len(key) - 1
+            at = np.flatnonzero(keep[:end])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(row[at]), pa.array(np.where(own[at], packed[at] >> 1, -1 - packed[at]))], names=["row", "place"])
+            key, row, packed = key[end:], row[end:], packed[end:]
+
+    found = rows.select("row", "raw").mapInArrow(run, "key long, row long, packed long")
+    met = found.repartition("key").sortWithinPartitions("key", "packed").mapInArrow(again, "row long, place long")
     return met.groupBy("row").agg(F.collect_set("place").alias("places"))
 
 
