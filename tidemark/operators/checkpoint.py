@@ -6,10 +6,12 @@ import json
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_ZERO = (F.coalesce("log_name", F.lit("")) == "") & (F.coalesce("log_pos", F.lit(0)) == 0)
+
+def _zero() -> Column:
+    return (F.coalesce("log_name", F.lit("")) == "") & (F.coalesce("log_pos", F.lit(0)) == 0)
 
 
 def registered(checkpoints: DataFrame, sinks: DataFrame) -> DataFrame:
@@ -25,14 +27,14 @@ def lookup(sinks: DataFrame, checkpoints: DataFrame) -> DataFrame:
 
 def least_progress(checkpoints: DataFrame, aligned: tuple[int, str, int] | None = None) -> DataFrame:
     """One row: the least non-zero progress. Sinks on several servers have none in common but the last aligned one; without it, an error."""
-    known = checkpoints.where(~_ZERO)
+    known = checkpoints.where(~_zero())
     out = known.agg(F.count_distinct("server_id").alias("servers"), F.min(F.struct("log_name", "log_pos", "server_id")).alias("p"))
     stand_in = F.struct(F.lit(aligned[1]).alias("log_name"), F.lit(aligned[2]).cast("long").alias("log_pos"), F.lit(aligned[0]).cast("long").alias("server_id")) if aligned else F.raise_error(F.lit("sinks are on several servers and were never aligned")).cast("struct<log_name:string,log_pos:bigint,server_id:bigint>")
     return out.select(F.when(F.col("servers") <= 1, F.col("p")).otherwise(stand_in).alias("p")).select("p.server_id", "p.log_name", "p.log_pos")
 
 
 def same_server(checkpoints: DataFrame) -> DataFrame:
-    return checkpoints.where(~_ZERO).agg((F.count_distinct("server_id") <= 1).alias("aligned"))
+    return checkpoints.where(~_zero()).agg((F.count_distinct("server_id") <= 1).alias("aligned"))
 
 
 def reached(checkpoints: DataFrame, server_id: int, log_name: str, log_pos: int) -> DataFrame:
