@@ -8,6 +8,7 @@ multisets) with a Jaccard similarity of 0.8 or more, and an alignment of the wor
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
 #: Rounds in which each bucket has a leader that the others are held against, before all that is left is compared.
-ROUNDS = 3
+ROUNDS = 2
 _U = np.uint64
 _ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
@@ -124,19 +125,36 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of links (a, b): the smallest node that each is connected to. Labels spread and jump until none changes."""
-    both = stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    """(node, root) for the nodes of links (a, b): the smallest node that each is connected to.
+
+    Labels spread along links until none changes; from the third turn on they also jump to their label's label, so that long chains
+    take few turns and stars need no more than they must.
+    """
+    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
-    while True:
+    for turn in count():
         near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        spread = labels.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        moved = stored(spread.join(jump, "root", "left").select("node", F.least("root", F.coalesce("next", "root")).alias("root"), "old"))
+        moved = labels.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
+        if turn > 1:
+            jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            moved = moved.join(jump, "root", "left").select("node", F.least("root", F.coalesce("next", "root")).alias("root"), "old")
+        moved = stored(moved)
         labels = moved.select("node", "root")
         if moved.where("root <> old").isEmpty():
             return labels
 
 
+def contracted(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Roots after further links: those are between groups, which are few beside their members."""
+    if roots is None:
+        return stored(components(links))
+    for side in ("a", "b"):
+        links = links.join(roots.select(F.col("node").alias(side), F.col("root").alias("r")), side, "left").withColumn(side, F.coalesce("r", side)).drop("r")
+    new = components(links)
+    old = roots.join(new.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
+    return stored(old.unionByName(new.join(roots.select("node"), "node", "left_anti")))
+
+
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Of the pairs (a, b) those that are linked; words has (node, words) for all of them."""
 
@@ -149,8 +167,8 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), rows, "a binary, b binary")
 
 
-def links(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """Links (a, b) between different texts that connect all near duplicates.
+def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(node, root) of texts that near duplicates connect to others; a node without links may be missing.
 
     The members of a bucket (a band's value) are held against its leader, the one whose buckets are largest; a base text is in the
     largest ones, so its copies meet it. In later rounds those that are not yet connected to the leader's group are held against
@@ -163,7 +181,7 @@ def links(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
     shared = stored(shared.drop("size").join(fame, "node"))
     if shared.isEmpty():
-        return spark.createDataFrame([], "a binary, b binary")
+        return spark.createDataFrame([], "node binary, root binary")
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
         for node, raw in docs:
@@ -172,7 +190,6 @@ def links(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     texts = docs.select(text_key(text).alias("node"), utf8(text).alias("raw")).join(fame.select("node"), "node", "left_semi")
     words = stored(map_rows(texts, rows, "node binary, words binary", chunk=500).groupBy("node").agg(F.first("words").alias("words")))
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    tried = found = None
     left, roots = shared, None
     for turn in range(ROUNDS + 1):
         now = left.withColumn("root", F.col("node")) if roots is None else left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -183,24 +200,16 @@ def links(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
         else:
             x, y = now.select("bucket", F.col("node").alias("n1"), F.col("root").alias("r1")), now.select("bucket", F.col("node").alias("n2"), F.col("root").alias("r2"))
             pairs = x.join(y, "bucket").where("n1 < n2 and r1 <> r2").select(*pair(F.col("n1"), F.col("n2"))).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        if pairs.isEmpty() and turn == ROUNDS:
-            break
-        new = stored(verified(pairs, words))
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        found = new if found is None else found.unionAll(new)
+        roots = contracted(stored(verified(pairs, words)), roots)
         if turn == ROUNDS:
             break
-        roots = components(found)
         # a bucket whose members are all connected is done; a leader of this round does not lead again
-        after = now.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(lead.select("bucket", F.col("lead.node").alias("lead")), "bucket")
+        after = now.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(lead.select("bucket", F.col("lead.node").alias("lead")), "bucket").where("node <> lead")
         several = after.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        left = stored(after.join(several, "bucket", "left_semi").where("node <> lead").select("node", "bucket", "fame"))
+        left = stored(after.join(several, "bucket", "left_semi").select("node", "bucket", "fame"))
         if left.isEmpty():
             break
-    return found
+    return roots
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,7 +220,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     a class has no other.
     """
     sketched = stored(sketches(docs, doc_id, text))
-    roots = components(links(sketched, docs, text))
+    roots = connected(sketched, docs, text)
     rooted = sketched.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return rooted.join(named, "root").select("doc_id", "node", "class_id")
