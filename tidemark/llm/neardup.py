@@ -18,30 +18,36 @@ from tidemark.llm.common import map_rows, stored, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
-#: Rounds in which each bucket has a leader that the others are held against, before all that is left is compared.
-ROUNDS = 2
+#: Sketches of what a text and the leader of its bucket don't share.
+DIFFERENCES = 64
 _U = np.uint64
-_ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_ODD = mix(np.arange(1, 65, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
+_COMBINE = _U(0xD6E8FEB86659FD93)
+
+
+def sketch(runs: np.ndarray, bands: int, ell: int = ELL) -> np.ndarray:
+    """For each of ``bands`` hash functions the ``ell`` smallest of the runs, in the order in which they stand, as one number."""
+    ell = min(ell, len(runs))
+    if not ell:
+        return np.zeros(0, np.int64)
+    v = runs[None, :] * _ODD[:bands, None] + _ADD[:bands, None]
+    v ^= v >> _U(32)
+    at = np.sort(np.argpartition(v, ell - 1, axis=1)[:, :ell], axis=1)
+    h = np.zeros(bands, _U)
+    for j in range(ell):
+        h = h * _COMBINE + runs[at[:, j]]
+    return (h ^ (h >> _U(29))).view(np.int64)
 
 
 def bands(words: np.ndarray) -> list[int]:
     """The BANDS sketches of a text; none if it has no words."""
-    runs = labelled(run_hashes(words, SHINGLE))
-    if not len(runs):
-        return []
-    ell = min(ELL, len(runs))
-    out = []
-    for odd, add in zip(_ODD, _ADD, strict=True):
-        v = runs * odd + add
-        v ^= v >> _U(32)
-        at = np.sort(np.argpartition(v, ell - 1)[:ell]) if ell < len(runs) else np.arange(len(runs))
-        h = 0
-        for x in runs[at].tolist():
-            h = (h * 0xD6E8FEB86659FD93 + x) & 0xFFFFFFFFFFFFFFFF
-        h ^= h >> 29
-        out.append(h - (h >> 63 << 64))
-    return out
+    return sketch(labelled(run_hashes(words, SHINGLE)), BANDS).tolist()
+
+
+def difference(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Sketches of what two texts don't share."""
+    return sketch(np.setxor1d(labelled(run_hashes(a, SHINGLE)), labelled(run_hashes(b, SHINGLE))), DIFFERENCES).tolist()
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -156,30 +162,30 @@ def contracted(links: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those that are linked; words has (node, words) for all of them."""
+    """(node, leader, linked, differences) of the pairs (node, leader); words has (node, words) for all of them."""
 
     def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
         for a, b, x, y in pairs:
-            if linked(np.frombuffer(x, np.uint32).astype(_U), np.frombuffer(y, np.uint32).astype(_U)):
-                yield a, b
+            x, y = (np.frombuffer(t, np.uint32).astype(_U) for t in (x, y))
+            yield a, b, linked(x, y), difference(x, y)
 
-    left, right = words.select(F.col("node").alias("a"), F.col("words").alias("x")), words.select(F.col("node").alias("b"), F.col("words").alias("y"))
-    return map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), rows, "a binary, b binary")
+    left, right = words.select("node", F.col("words").alias("x")), words.select(F.col("node").alias("leader"), F.col("words").alias("y"))
+    return map_rows(pairs.join(left, "node").join(right, "leader").select("node", "leader", "x", "y"), rows, "node binary, leader binary, linked boolean, differences array<long>")
 
 
 def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of texts that near duplicates connect to others; a node without links may be missing.
 
-    The members of a bucket (a band's value) are held against its leader, the one whose buckets are largest; a base text is in the
-    largest ones, so its copies meet it. In later rounds those that are not yet connected to the leader's group are held against
-    the next leader; what is left after ROUNDS rounds is compared in full. No bucket is collected or capped.
+    No two members of a bucket (a band's value) are paired but with the bucket's leader, the one whose buckets are largest: a base text
+    is in the largest ones, so its copies meet it. Where some are not connected to it, all meet again in finer buckets, by what they and
+    the leader don't share: two texts that are alike, and both unlike the leader, share a third or more of that, while texts that differ
+    from it each in its own way share next to none. The buckets of each level are linear in the members that the last one left,
+    and the levels end when no bucket has members of two groups.
     """
     spark = docs.sparkSession
     members = sketched.select("node", "bands").where(F.size("bands") > 0).dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     size = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(members.join(size, "bucket"))
-    fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
-    shared = stored(shared.drop("size").join(fame, "node"))
     if shared.isEmpty():
         return spark.createDataFrame([], "node binary, root binary")
 
@@ -187,29 +193,26 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
         for node, raw in docs:
             yield node, word_hashes(raw).astype(np.uint32).tobytes()
 
-    texts = docs.select(text_key(text).alias("node"), utf8(text).alias("raw")).join(fame.select("node"), "node", "left_semi")
+    texts = docs.select(text_key(text).alias("node"), utf8(text).alias("raw")).join(shared.select("node").distinct(), "node", "left_semi")
     words = stored(map_rows(texts, rows, "node binary, words binary", chunk=500).groupBy("node").agg(F.first("words").alias("words")))
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    left, roots = shared, None
-    for turn in range(ROUNDS + 1):
-        now = left.withColumn("root", F.col("node")) if roots is None else left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if turn < ROUNDS:
-            lead = now.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("lead"))
-            open_ = now.join(lead, "bucket").where("root <> lead.root")
-            pairs = open_.select(*pair(F.col("node"), F.col("lead.node"))).distinct()
-        else:
-            x, y = now.select("bucket", F.col("node").alias("n1"), F.col("root").alias("r1")), now.select("bucket", F.col("node").alias("n2"), F.col("root").alias("r2"))
-            pairs = x.join(y, "bucket").where("n1 < n2 and r1 <> r2").select(*pair(F.col("n1"), F.col("n2"))).distinct()
-        roots = contracted(stored(verified(pairs, words)), roots)
-        if turn == ROUNDS:
-            break
-        # a bucket whose members are all connected is done; a leader of this round does not lead again
-        after = now.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(lead.select("bucket", F.col("lead.node").alias("lead")), "bucket").where("node <> lead")
-        several = after.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        left = stored(after.join(several, "bucket", "left_semi").select("node", "bucket", "fame"))
-        if left.isEmpty():
-            break
-    return roots
+    roots = None
+    while True:
+        fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
+        now = shared.drop("size").join(fame, "node")
+        now = now.withColumn("root", F.col("node")) if roots is None else now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        lead = now.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("lead"))
+        pairs = now.join(lead, "bucket").where("root <> lead.root").select("node", F.col("lead.node").alias("leader")).distinct()
+        met = stored(verified(pairs, words))
+        roots = contracted(met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
+        # where a leader has members outside its group, all that met it meet again by what sets them apart from it
+        open_ = met.where("not linked").join(roots, "node", "left").select("leader", F.coalesce("root", "node").alias("root")).join(roots.select(F.col("node").alias("leader"), F.col("root").alias("own")), "leader", "left")
+        split = open_.where("root <> coalesce(own, leader)").select("leader").distinct()
+        again = met.join(split, "leader", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        finer = again.select("node", "root", F.posexplode("differences").alias("band", "value"), "leader").select("node", "root", F.xxhash64("leader", "band", "value").alias("bucket"))
+        several = finer.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket", "size")
+        shared = stored(finer.join(several, "bucket").select("node", "bucket", "size"))
+        if shared.isEmpty():
+            return roots
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
