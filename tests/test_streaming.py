@@ -51,3 +51,25 @@ def test_binlog_source_and_engine(spark, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == n
     assert engine.synced()["server_id"] == 1001 and store.load()["sinks"]["clicks"]["ctx"]["batch"] == 0
     assert engine.status()["mode"] == "standalone" and engine.databases() == ["shop"]
+
+
+def test_bootstrap_and_command_line(spark, sf_dir, tmp_path):
+    from tidemark.__main__ import main
+    from tidemark.operators.schemas import Mirror
+    from tidemark.sources.dump import read_statements
+    from tidemark.streaming.bootstrap import History, first_position
+
+    (tmp_path / "dump.sql").write_text("-- header;\nCHANGE MASTER TO MASTER_LOG_FILE='mysql-bin.000007', MASTER_LOG_POS=1234;\nUSE `shop`;\nCREATE TABLE `click` (\n `id` int,\n PRIMARY KEY (`id`));\nINSERT INTO `click` VALUES (1);\nopen")
+    mirror = Mirror()
+    at = first_position(None, read_statements(spark, str(tmp_path / "dump.sql")), mirror)
+    assert (at["log_name"], at["log_pos"]) == ("mysql-bin.000007", 1234) and mirror.table("shop", "click").columns[0].key == "PRI"
+    history = History(spark, str(tmp_path / "history"))
+    history.reset()
+    assert history.last() is None and history.save(mirror, "f", 4, "shop", "s") and not history.save(mirror, "f", 4, "shop", "s")
+    assert history.last().tables == mirror.tables and history.kept().count() == 1
+    assert first_position({"log_pos": 1}, None, mirror) == {"log_pos": 1}
+
+    synth.operations(spark, sf_dir).where("e < 50").write.parquet(str(tmp_path / "log"))
+    (tmp_path / "c.toml").write_text(f'[source]\npath = "{tmp_path}/log"\n[checkpoint]\npath = "{tmp_path}/ckp"\n[[sink]]\nname = "all"\ntype = "table"\npath = "{tmp_path}/out"\n')
+    assert main(["--cfg", str(tmp_path / "c.toml")]) == 0 and main(["--cfg", str(tmp_path / "c.toml")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == synth.operations(spark, sf_dir).where("e < 50 and op <> 'query'").count()
