@@ -18,10 +18,10 @@ from tidemark.llm.common import map_rows, stored, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
-#: Sketches of what a text and the leader of its bucket don't share.
-DIFFERENCES = 64
+#: Sketches of what a text and the leader of its bucket don't share, and runs in each.
+DIFFERENCES, FINE = 200, 4
 _U = np.uint64
-_ODD = mix(np.arange(1, 65, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_ODD = mix(np.arange(1, DIFFERENCES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
 _COMBINE = _U(0xD6E8FEB86659FD93)
 
@@ -47,7 +47,7 @@ def bands(words: np.ndarray) -> list[int]:
 
 def difference(a: np.ndarray, b: np.ndarray) -> list[int]:
     """Sketches of what two texts don't share."""
-    return sketch(np.setxor1d(labelled(run_hashes(a, SHINGLE)), labelled(run_hashes(b, SHINGLE))), DIFFERENCES).tolist()
+    return sketch(np.setxor1d(labelled(run_hashes(a, SHINGLE)), labelled(run_hashes(b, SHINGLE))), DIFFERENCES, FINE).tolist()
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -176,11 +176,11 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of texts that near duplicates connect to others; a node without links may be missing.
 
-    No two members of a bucket (a band's value) are paired but with the bucket's leader, the one whose buckets are largest: a base text
-    is in the largest ones, so its copies meet it. Where some are not connected to it, all meet again in finer buckets, by what they and
-    the leader don't share: two texts that are alike, and both unlike the leader, share a third or more of that, while texts that differ
-    from it each in its own way share next to none. The buckets of each level are linear in the members that the last one left,
-    and the levels end when no bucket has members of two groups.
+    No two members of a bucket (a band's value) are paired but with its two leaders, those whose buckets are largest: a base text is in
+    the largest ones, so its copies meet it. Where some are not connected to it, all meet again in finer buckets, by what they and
+    a leader don't share: two texts that are alike, and both unlike the leader, share a third or more of that, while texts that differ
+    from it each in its own way share next to none. A leader joins the like in a finer bucket first; only members that are still in
+    different groups are paired there, and a finer bucket holds next to none of them but by likeness.
     """
     spark = docs.sparkSession
     members = sketched.select("node", "bands").where(F.size("bands") > 0).dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
@@ -195,24 +195,35 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
     texts = docs.select(text_key(text).alias("node"), utf8(text).alias("raw")).join(shared.select("node").distinct(), "node", "left_semi")
     words = stored(map_rows(texts, rows, "node binary, words binary", chunk=500).groupBy("node").agg(F.first("words").alias("words")))
-    roots = None
-    while True:
+    def with_roots(df: DataFrame, roots: DataFrame | None) -> DataFrame:
+        return df.withColumn("root", F.col("node")) if roots is None else df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def led(shared: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """What the members of each bucket and its two leaders made of each other, and the roots after it."""
         fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
-        now = shared.drop("size").join(fame, "node")
-        now = now.withColumn("root", F.col("node")) if roots is None else now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        now = with_roots(shared.drop("size").join(fame, "node"), roots)
         lead = now.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("lead"))
-        pairs = now.join(lead, "bucket").where("root <> lead.root").select("node", F.col("lead.node").alias("leader")).distinct()
+        both = now.join(lead, "bucket").where("node <> lead.node")
+        second = both.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("second"))
+        both = both.join(second, "bucket").select("node", "root", F.explode(F.array("lead", "second")).alias("l"))
+        pairs = both.where("node <> l.node and root <> l.root").select("node", F.col("l.node").alias("leader")).distinct()
         met = stored(verified(pairs, words))
-        roots = contracted(met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
-        # where a leader has members outside its group, all that met it meet again by what sets them apart from it
-        open_ = met.where("not linked").join(roots, "node", "left").select("leader", F.coalesce("root", "node").alias("root")).join(roots.select(F.col("node").alias("leader"), F.col("root").alias("own")), "leader", "left")
-        split = open_.where("root <> coalesce(own, leader)").select("leader").distinct()
-        again = met.join(split, "leader", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        finer = again.select("node", "root", F.posexplode("differences").alias("band", "value"), "leader").select("node", "root", F.xxhash64("leader", "band", "value").alias("bucket"))
-        several = finer.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket", "size")
-        shared = stored(finer.join(several, "bucket").select("node", "bucket", "size"))
-        if shared.isEmpty():
-            return roots
+        return met, contracted(met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
+
+    met, roots = led(shared, None)
+    # where a leader has members outside its group, all that met it meet again by what sets them apart from it
+    apart = with_roots(met.where("not linked").select("leader", "node"), roots)
+    split = apart.join(roots.select(F.col("node").alias("leader"), F.col("root").alias("own")), "leader", "left").where("root <> coalesce(own, leader)").select("leader").distinct()
+    again = with_roots(met.join(split, "leader", "left_semi").select("leader", "node", "differences"), roots)
+    finer = again.select("node", "root", F.posexplode("differences").alias("band", "value"), "leader").select("node", "root", F.xxhash64("leader", "band", "value").alias("bucket"))
+    several = finer.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket", "size")
+    shared = stored(finer.join(several, "bucket").select("node", "bucket", "size"))
+    if shared.isEmpty():
+        return roots
+    _, roots = led(shared, roots)
+    x, y = (with_roots(shared, roots).select("bucket", F.col("node").alias(n), F.col("root").alias(r)) for n, r in (("node", "r1"), ("leader", "r2")))
+    rest = x.join(y, "bucket").where("node < leader and r1 <> r2").select("node", "leader").distinct()
+    return contracted(stored(verified(rest, words)).where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
