@@ -132,7 +132,8 @@ def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pool: int
         for key, y, raw, *meta in docs:
             yield key, y, list(text_stats(raw)), *meta
 
-    got = map_rows(both, rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, stats array<long>, lang string, source string, chars long").collect()
+    got = map_rows(both, rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, stats array<long>, lang string, source string, chars long").toArrow()
+    got = list(zip(*(c.to_pylist() for c in got.columns), strict=True))
     got.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r)))
     known = [r for r in got if r[1] >= 0]
     own = {r[0] for r in known}
