@@ -24,7 +24,7 @@ from tidemark.llm.suffixes import suffixes
 LENGTH, GRAM = 100, 32
 WINDOW = LENGTH - GRAM + 1  # grams in a string
 #: Bytes of text that anchors are looked for at once, and distinct bytes that a suffix sort takes together (one anchor's contexts may be more).
-CHUNK, SORTED = 1 << 19, 1 << 20
+CHUNK, SORTED = 1 << 19, 1 << 21
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=_U))
