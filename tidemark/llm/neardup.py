@@ -106,9 +106,9 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
 def linked(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
     """Whether two texts, given by their words' hashes, are near duplicates."""
-    if jaccard(a, b) < least:
-        return False
     longest = max(len(a), len(b))
+    if min(len(a), len(b)) < least * longest - 4 or jaccard(a, b) < least:  # shingles are four fewer than words
+        return False
     return edit_distance(a, b, int((1 - least) * longest + 1e-9)) <= (1 - least) * longest + 1e-9
 
 
@@ -161,13 +161,13 @@ def contracted(links: DataFrame, roots: DataFrame | None) -> DataFrame:
     return stored(old.unionByName(new.join(roots.select("node"), "node", "left_anti")))
 
 
-def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(node, leader, linked, differences) of the pairs (node, leader); words has (node, words) for all of them."""
+def verified(pairs: DataFrame, words: DataFrame, apart: bool = False) -> DataFrame:
+    """(node, leader, linked, differences) of the pairs (node, leader); words has (node, words) for all of them. Differences only if ``apart``."""
 
     def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
         for a, b, x, y in pairs:
             x, y = (np.frombuffer(t, np.uint32).astype(_U) for t in (x, y))
-            yield a, b, linked(x, y), difference(x, y)
+            yield a, b, linked(x, y), difference(x, y) if apart else []
 
     left, right = words.select("node", F.col("words").alias("x")), words.select(F.col("node").alias("leader"), F.col("words").alias("y"))
     return map_rows(pairs.join(left, "node").join(right, "leader").select("node", "leader", "x", "y"), rows, "node binary, leader binary, linked boolean, differences array<long>")
@@ -198,7 +198,7 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     def with_roots(df: DataFrame, roots: DataFrame | None) -> DataFrame:
         return df.withColumn("root", F.col("node")) if roots is None else df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def led(shared: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    def led(shared: DataFrame, roots: DataFrame | None, apart: bool = False) -> tuple[DataFrame, DataFrame]:
         """What the members of each bucket and its two leaders made of each other, and the roots after it."""
         fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
         now = with_roots(shared.drop("size").join(fame, "node"), roots)
@@ -207,10 +207,10 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
         second = both.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("second"))
         both = both.join(second, "bucket").select("node", "root", F.explode(F.array("lead", "second")).alias("l"))
         pairs = both.where("node <> l.node and root <> l.root").select("node", F.col("l.node").alias("leader")).distinct()
-        met = stored(verified(pairs, words))
+        met = stored(verified(pairs, words, apart))
         return met, contracted(met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
 
-    met, roots = led(shared, None)
+    met, roots = led(shared, None, apart=True)
     # where a leader has members outside its group, all that met it meet again by what sets them apart from it
     apart = with_roots(met.where("not linked").select("leader", "node"), roots)
     split = apart.join(roots.select(F.col("node").alias("leader"), F.col("root").alias("own")), "leader", "left").where("root <> coalesce(own, leader)").select("leader").distinct()
