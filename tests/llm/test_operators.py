@@ -213,6 +213,35 @@ def test_near_duplicates(spark, tmp_path):
     assert sorted(x.doc_id for x in kept) == sorted(set(got.values()))
 
 
+def test_near_duplicates_that_no_leader_is_like(spark, tmp_path):
+    r = random.Random(8)
+    rows = []
+    for cluster in range(12):
+        base = [f"{cluster}w{k}" for k in range(200)]
+
+        def changed(text, *places):
+            return [f"{r.random()}" if k in places else w for k, w in enumerate(text)]
+
+        copies = [changed(base, r.randrange(10, 190)) for _ in range(20)]
+        near = changed(base, 100)
+        rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate([base, *copies, near, changed(near, 20, 50, 140, 170)])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x.class_id for x in neardup.query(spark, str(tmp_path)).collect()}
+    assert got == {i: i - i % 23 for i, _ in rows}
+
+
+def test_like_texts_share_one_of_their_rarest_shingles():
+    r = np.random.default_rng(5)
+    counts = r.integers(0, 9, neardup.CELLS)
+    for _ in range(300):
+        x = r.integers(0, 2**63, r.integers(1, 60)).astype(np.uint64)
+        n = int(r.integers(0, len(x) // 9 + 2))
+        y = np.concatenate([x[n:], r.integers(0, 2**63, n).astype(np.uint64)])
+        both = len(np.intersect1d(x, y))
+        if both / (len(x) + len(y) - both) >= neardup.LEAST:
+            assert len(np.intersect1d(neardup.rarest(x, counts), neardup.rarest(y, counts)))
+
+
 def test_segments_equal_the_slow_definition():
     r = random.Random(6)
     for _ in range(200):

@@ -7,6 +7,7 @@ multisets) with a Jaccard similarity of 0.8 or more, and an alignment of the wor
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import count
 
@@ -18,10 +19,10 @@ from tidemark.llm.common import map_rows, stored, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
-#: Sketches of what a text and the leader of its bucket don't share, and runs in each.
-DIFFERENCES, FINE = 200, 4
+#: Rounds in which buckets are held against leaders, cells in which shingles are counted, and rows of a block of pairs.
+ROUNDS, CELLS, BLOCK = 2, 1 << 20, 500
 _U = np.uint64
-_ODD = mix(np.arange(1, DIFFERENCES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
 _COMBINE = _U(0xD6E8FEB86659FD93)
 
@@ -42,17 +43,22 @@ def sketch(runs: np.ndarray, bands: int, ell: int = ELL) -> np.ndarray:
 
 def bands(words: np.ndarray) -> list[int]:
     """The BANDS sketches of a text; none if it has no words."""
-    return sketch(labelled(run_hashes(words, SHINGLE)), BANDS).tolist()
+    return sketch(shingles(words), BANDS).tolist()
 
 
-def difference(a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Sketches of what two texts don't share."""
-    return sketch(np.setxor1d(labelled(run_hashes(a, SHINGLE)), labelled(run_hashes(b, SHINGLE))), DIFFERENCES, FINE).tolist()
+def shingles(words: np.ndarray) -> np.ndarray:
+    return labelled(run_hashes(words, SHINGLE))
+
+
+def rarest(runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Those of a text's shingles, the ones in the emptiest cells first, of which any text with a similarity of LEAST has one among its own."""
+    order = np.lexsort((runs, counts[(runs % _U(CELLS)).astype(np.int64)]))
+    return runs[order[: len(runs) - math.ceil(LEAST * len(runs) - 1e-9) + 1]]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of the multisets of five-word shingles of two texts, given by their words' hashes."""
-    x, y = labelled(run_hashes(a, SHINGLE)), labelled(run_hashes(b, SHINGLE))
+    x, y = shingles(a), shingles(b)
     if not len(x) or not len(y):
         return float(len(x) == len(y))
     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -161,26 +167,66 @@ def contracted(links: DataFrame, roots: DataFrame | None) -> DataFrame:
     return stored(old.unionByName(new.join(roots.select("node"), "node", "left_anti")))
 
 
-def verified(pairs: DataFrame, words: DataFrame, apart: bool = False) -> DataFrame:
-    """(node, leader, linked, differences) of the pairs (node, leader); words has (node, words) for all of them. Differences only if ``apart``."""
+def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that are near duplicates; words has (node, words) for all of them."""
 
     def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
         for a, b, x, y in pairs:
-            x, y = (np.frombuffer(t, np.uint32).astype(_U) for t in (x, y))
-            yield a, b, linked(x, y), difference(x, y) if apart else []
+            if linked(*(np.frombuffer(t, np.uint32).astype(_U) for t in (x, y))):
+                yield a, b
+
+    left, right = words.select(F.col("node").alias("a"), F.col("words").alias("x")), words.select(F.col("node").alias("b"), F.col("words").alias("y"))
+    return map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), rows, "a binary, b binary")
+
+
+def counted(words: DataFrame) -> np.ndarray:
+    """How many shingles fall into each of CELLS cells."""
+
+    def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
+        cells = np.zeros(CELLS, np.int64)
+        for (raw,) in texts:
+            np.add.at(cells, (shingles(np.frombuffer(raw, np.uint32).astype(_U)) % _U(CELLS)).astype(np.int64), 1)
+        for i in np.flatnonzero(cells):
+            yield int(i), int(cells[i])
+
+    got = map_rows(words.select("words"), rows, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[got["cell"].to_numpy()] = got["n"].to_numpy()
+    return counts
 
-    left, right = words.select("node", F.col("words").alias("x")), words.select(F.col("node").alias("leader"), F.col("words").alias("y"))
-    return map_rows(pairs.join(left, "node").join(right, "leader").select("node", "leader", "x", "y"), rows, "node binary, leader binary, linked boolean, differences array<long>")
+
+def alike(words: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (node, words) with different roots, among them all whose shingles have a similarity of LEAST.
+
+    In any one order of all shingles, two such texts share one of their first fifths (``rarest``), and from the first that they share
+    on each has enough left for the similarity. In the order of rarity what is common to many texts comes last, and unlike texts
+    hardly meet. Large groups are paired in blocks.
+    """
+    counts = words.sparkSession.sparkContext.broadcast(counted(words))
+
+    def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
+        for node, raw in texts:
+            runs = shingles(np.frombuffer(raw, np.uint32).astype(_U))
+            for i, run in enumerate(rarest(runs, counts.value).view(np.int64).tolist()):
+                yield node, run, len(runs) - i, len(runs)
+
+    first = stored(map_rows(words.select("node", "words"), rows, "node binary, run long, rest int, n int"))
+    first = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = first.groupBy("run").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    first = stored(first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run"))
+    x = first.select("run", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("a"), F.col("root").alias("r1"), F.col("rest").alias("rest1"), F.col("n").alias("n1"))
+    y = first.select("run", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("b"), F.col("root").alias("r2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"))
+    enough = (1 + LEAST) * F.least("rest1", "rest2") >= LEAST * (F.col("n1") + F.col("n2")) - 1e-9
+    return x.join(y, ["run", "block"]).where((F.col("a") < F.col("b")) & (F.col("r1") != F.col("r2")) & enough).select("a", "b").distinct()
 
 
 def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of texts that near duplicates connect to others; a node without links may be missing.
 
-    No two members of a bucket (a band's value) are paired but with its two leaders, those whose buckets are largest: a base text is in
-    the largest ones, so its copies meet it. Where some are not connected to it, all meet again in finer buckets, by what they and
-    a leader don't share: two texts that are alike, and both unlike the leader, share a third or more of that, while texts that differ
-    from it each in its own way share next to none. A leader joins the like in a finer bucket first; only members that are still in
-    different groups are paired there, and a finer bucket holds next to none of them but by likeness.
+    The members of a bucket (a band's value) are first held against its two leaders, those whose buckets are largest: a base text is
+    in the largest ones, so its copies meet it. Where some are not connected, two others lead. All of a bucket that then still has
+    members of different groups meet by their rarest shingles (``alike``), which loses no pair that may be linked: every pair that
+    shares a bucket is decided, unless both are connected already.
     """
     spark = docs.sparkSession
     members = sketched.select("node", "bands").where(F.size("bands") > 0).dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
@@ -195,35 +241,25 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
     texts = docs.select(text_key(text).alias("node"), utf8(text).alias("raw")).join(shared.select("node").distinct(), "node", "left_semi")
     words = stored(map_rows(texts, rows, "node binary, words binary", chunk=500).groupBy("node").agg(F.first("words").alias("words")))
-    def with_roots(df: DataFrame, roots: DataFrame | None) -> DataFrame:
-        return df.withColumn("root", F.col("node")) if roots is None else df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    def led(shared: DataFrame, roots: DataFrame | None, apart: bool = False) -> tuple[DataFrame, DataFrame]:
-        """What the members of each bucket and its two leaders made of each other, and the roots after it."""
-        fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
-        now = with_roots(shared.drop("size").join(fame, "node"), roots)
+    fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
+    left, roots = stored(shared.drop("size").join(fame, "node")), None
+    for _ in range(ROUNDS):
+        now = left.withColumn("root", F.col("node")) if roots is None else left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         lead = now.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("lead"))
         both = now.join(lead, "bucket").where("node <> lead.node")
         second = both.groupBy("bucket").agg(F.max(F.struct("fame", "node", "root")).alias("second"))
-        both = both.join(second, "bucket").select("node", "root", F.explode(F.array("lead", "second")).alias("l"))
-        pairs = both.where("node <> l.node and root <> l.root").select("node", F.col("l.node").alias("leader")).distinct()
-        met = stored(verified(pairs, words, apart))
-        return met, contracted(met.where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
-
-    met, roots = led(shared, None, apart=True)
-    # where a leader has members outside its group, all that met it meet again by what sets them apart from it
-    apart = with_roots(met.where("not linked").select("leader", "node"), roots)
-    split = apart.join(roots.select(F.col("node").alias("leader"), F.col("root").alias("own")), "leader", "left").where("root <> coalesce(own, leader)").select("leader").distinct()
-    again = with_roots(met.join(split, "leader", "left_semi").select("leader", "node", "differences"), roots)
-    finer = again.select("node", "root", F.posexplode("differences").alias("band", "value"), "leader").select("node", "root", F.xxhash64("leader", "band", "value").alias("bucket"))
-    several = finer.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket", "size")
-    shared = stored(finer.join(several, "bucket").select("node", "bucket", "size"))
-    if shared.isEmpty():
-        return roots
-    _, roots = led(shared, roots)
-    x, y = (with_roots(shared, roots).select("bucket", F.col("node").alias(n), F.col("root").alias(r)) for n, r in (("node", "r1"), ("leader", "r2")))
-    rest = x.join(y, "bucket").where("node < leader and r1 <> r2").select("node", "leader").distinct()
-    return contracted(stored(verified(rest, words)).where("linked").select(F.col("node").alias("a"), F.col("leader").alias("b")), roots)
+        both = stored(both.join(second, "bucket").select("bucket", "node", "fame", "root", "lead", "second"))
+        pairs = both.select("node", "root", F.explode(F.array("lead", "second")).alias("l")).where("node <> l.node and root <> l.root")
+        found = stored(verified(pairs.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct(), words))
+        roots = contracted(found, roots)
+        # leaders have met all of their bucket; one whose other members are connected is done
+        after = both.where("node <> second.node").select("bucket", "node", "fame").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = after.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+        left = stored(after.drop("root").join(several, "bucket", "left_semi"))
+        if left.isEmpty():
+            return roots
+    rest = stored(words.join(left.select("node").distinct(), "node", "left_semi"))
+    return contracted(stored(verified(stored(alike(rest, roots)), words)), roots)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
