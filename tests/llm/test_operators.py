@@ -230,6 +230,15 @@ def test_near_duplicates_that_no_leader_is_like(spark, tmp_path):
     assert got == {i: i - i % 23 for i, _ in rows}
 
 
+def test_one_row_of_each_class_stays_under_null_and_equal_ids(spark):
+    r = random.Random(12)
+    texts = [words(r, 50) for _ in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[4] + " more"), (5, texts[5]), (9, texts[5]), (None, texts[6]), (7, texts[6]), (None, None)]
+    kept = neardup.distinct(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((x.doc_id, (x.text or "").removesuffix(" more")) for x in kept), key=str)
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5]), (7, texts[6]), (None, "")], key=str)
+
+
 def test_like_texts_share_one_of_their_rarest_shingles():
     r = np.random.default_rng(5)
     counts = r.integers(0, 9, neardup.CELLS)

@@ -263,7 +263,7 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, node, class_id) of every row: class_id is the smallest doc_id among the texts that near duplicates connect.
+    """(doc_id, node, root, class_id) of every row; root stands for the class: class_id is the smallest doc_id among the texts that near duplicates connect.
 
     Null and empty texts, and others without words, are linked to exact copies only (null counts as empty). Texts under five words
     have one shingle, all their words. Rows that repeat are in one class; null ids are passed over for class_id, which is null if
@@ -273,12 +273,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     roots = connected(sketched, docs, text)
     rooted = sketched.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return rooted.join(named, "root").select("doc_id", "node", "class_id")
+    return rooted.join(named, "root").select("doc_id", "node", "root", "class_id")
 
 
 def distinct(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without near duplicates: of each class one row stays, of those with the smallest id one with the smallest text key."""
-    kept = classes(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("class_id").alias("_tm_class")).agg(F.min("node").alias("_tm_keep"))
+    """docs without near duplicates: of each class one row stays, of those with the smallest id one with the smallest text key.
+
+    Classes are told apart by their root, not by their id, which others may share or lack.
+    """
+    kept = classes(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("node").alias("_tm_keep"), F.first("class_id").alias("_tm_class"))
     own = docs.withColumn("_tm_key", text_key(text))
     out = own.join(kept, (F.col("_tm_key") == F.col("_tm_keep")) & F.col(doc_id).eqNullSafe(F.col("_tm_class")), "left_semi")
     return out.dropDuplicates([doc_id, "_tm_key"]).drop("_tm_key")
