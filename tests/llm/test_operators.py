@@ -378,6 +378,24 @@ def test_pages(spark, awkward):
     assert got["u0"].text == "a & b\nc d" and got["u1"].text == got["u2"].text == got["u4"].text == "" and all(r.n_chars == len(r.text) for r in got.values())
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p>one <svg class="i"/> two</p><p>three</p>', ["one", "two", "three"]),
+        ('<p>one <svg class="i"/> two</p><p>three</p><svg><text>x</text></svg><p>four</p>', ["one", "two", "three", "four"]),
+        ("<p>a</p><svg><svg><text>x</text></svg><text>y</text></svg><p>b</p>", ["a", "b"]),
+        ("<div>a<template><div>x</div><template>y</template>z</template>b</div>", ["a", "b"]),
+        ("<p>a <select><option>x</p><p>b</p>", ["a", "b"]),
+        ("<body>a<noscript><img src=x><p>b</p><select><option>x<option>y<p>c</p>", ["a", "b", "c"]),
+        ("<div>a <svg><path d='m'> b<p>c</p><svg><title/><text>x</text></svg></div>", ["a", "c"]),
+        ("<p>a</p><NOSCRIPT><p>x</p></NOSCRIPT><select><option>y</select><p>b</p>", ["a", "b"]),
+        ("<p>a</p><script>'<svg>'</script><style>p{}</style><p>b</p>", ["a", "b"]),
+    ],
+)
+def test_dropped_elements_end_where_they_end(page, want):
+    assert [b.text for b in pages.blocks(page)] == want
+
+
 def test_pipeline(spark, awkward):
     import corpus_pipeline
 

@@ -30,7 +30,9 @@ PAGES, PASSES = 600, 6
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template iframe textarea select option button svg canvas object title head".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "select")
+RAW = ("script", "style", "iframe", "textarea", "title")
+#: Dropped elements with others in them; where they have no end, the next element that ends a paragraph ends them.
+NESTED = ("svg", "template", "noscript", "select")
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+>""", re.S)
@@ -52,6 +54,14 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     held: list[tuple[str, bool]] = []
     links = 0
+    ends: dict[str, int] = {}
+
+    def open_ended(i: int, at: int) -> bool:
+        """Whether the open element can't reach beyond ``at``: no end of its kind follows, or it is an image, which holds no paragraphs."""
+        tag = stack[i][0]
+        if tag not in ends:
+            ends[tag] = max((e.start() for e in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+        return ends[tag] < at or tag == "svg" and not any(t == "foreignobject" for t, _ in stack[i:])
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(t for t, _ in held)).split())
@@ -84,7 +94,8 @@ def blocks(page: str) -> list[Block]:
                     if t == tag:
                         break
             continue
-        if tag in RAW:
+        closed_itself = (m[3] or m[6] or "").endswith("/")
+        if tag in RAW and not (closed_itself and any(t == "svg" for t, _ in stack)):
             if tag not in INLINE:
                 flush()
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -96,6 +107,9 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
             if tag in CLOSES_P or tag == "li":
+                i = next((i for i, (t, _) in enumerate(stack) if t in NESTED and open_ended(i, at)), len(stack))
+                links -= sum(t == "a" for t, _ in stack[i:])
+                del stack[i:]
                 closed = "p" if tag != "li" else "li"
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == closed:
@@ -104,7 +118,7 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[i][0] not in INLINE and stack[i][0] != "p":
                         break
-        if tag in VOID or (m[3] or m[6] or "").endswith("/"):
+        if tag in VOID or closed_itself:
             continue
         names = _NAME.findall(m[3] or m[6] or "")
         stack.append((tag, " ".join([tag, *_PART.findall(" ".join(names).lower())]) if names else tag))
