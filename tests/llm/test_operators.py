@@ -396,6 +396,14 @@ def test_dropped_elements_end_where_they_end(page, want):
     assert [b.text for b in pages.blocks(page)] == want
 
 
+def test_the_outermost_elements_of_a_deep_path_are_seen():
+    inner = ("ul", "li") * 10
+    comments, article = (pages._path_cells((f"div {name}", *inner)) for name in ("comments", "article"))
+    assert np.abs(comments - article).max() > 0.1
+    shallow = ("div a", "p")
+    assert set(np.abs(pages._path_cells(shallow))) <= {0, 1, 2, 3}
+
+
 def test_pipeline(spark, awkward):
     import corpus_pipeline
 

@@ -23,6 +23,8 @@ from tidemark.llm.hashing import word_hashes
 
 PATH, WORDS, SIZES = 160, 16, 6
 INPUTS, HIDDEN = PATH + WORDS + SIZES, 20
+#: Innermost elements of a path that count in full; those further out count by the inverse of their distance.
+NEAR = 12
 #: Generated pages that the labeller learns from, and passes over them.
 PAGES, PASSES = 600, 6
 
@@ -130,13 +132,14 @@ def blocks(page: str) -> list[Block]:
 @lru_cache(20_000)
 def _path_cells(path: tuple[str, ...]) -> np.ndarray:
     v = np.zeros(PATH, np.float32)
-    for element in path[-12:]:
+    for distance, element in zip(range(len(path), 0, -1), path, strict=True):
+        weight = min(1.0, NEAR / distance)
         tag, *names = element.split(" ")
         if tag in ("html", "body"):
             continue
         for word in (f"<{tag}", *names, f"{tag}.{names[0] if names else ''}"):
             h = zlib.crc32(word.encode())
-            v[h % PATH] += 1.0 if h >> 16 & 1 else -1.0
+            v[h % PATH] += weight if h >> 16 & 1 else -weight
     return np.clip(v, -3, 3)
 
 
