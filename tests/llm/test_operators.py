@@ -166,18 +166,35 @@ def test_repeats_of_periodic_and_spliced_texts(spark, tmp_path, monkeypatch):
         assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == want[x.doc_id]
 
 
+def edits(a, b):
+    """Edit distance of two lists, row by row."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
 def test_edit_distance_in_a_band():
     r = random.Random(3)
-    for _ in range(200):
-        a, b = (np.array([r.randint(0, 3) for _ in range(r.randint(0, 12))], np.uint64) for _ in range(2))
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        most = r.randint(0, 12)
-        assert neardup.edit_distance(a, b, most) == min(row[-1], most + 1)
+    for _ in range(600):
+        a = [r.randint(0, 3) for _ in range(r.randint(0, 25))]
+        b = [r.randint(0, 3) for _ in range(r.randint(0, 25))] if r.random() < 0.4 else [x for x in a if r.random() < 0.9 for x in [x] * r.choice([1, 1, 1, 1, 2])]
+        most = r.randint(0, 14)
+        assert neardup.edit_distance(np.array(a, np.uint64), np.array(b, np.uint64), most) == min(edits(a, b), most + 1)
+
+
+def like(a, b):
+    """Whether two texts are near duplicates by the definition: words and their edit distance, nothing of the library."""
+    x, y = split(a), split(b)
+    if (a or "") == (b or ""):
+        return True
+    longest = max(len(x), len(y))
+    if not x or not y or longest - sum((Counter(x) & Counter(y)).values()) > 0.2 * longest + 1e-9:
+        return False
+    return edits(x, y) <= 0.2 * longest + 1e-9
 
 
 def test_near_duplicates(spark, tmp_path):
@@ -194,21 +211,20 @@ def test_near_duplicates(spark, tmp_path):
     rows += [(n, None), (n + 1, ""), (n + 2, "  "), rows[0]]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {x.doc_id: x.class_id for x in neardup.query(spark, str(tmp_path)).collect()}
-    hashes = {i: hashing.word_hashes((t or "").encode()) for i, t in rows}
-    root = {i: i for i in hashes}
+    text = dict(rows)
+    root = {i: i for i in text}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    text = dict(rows)
-    for i in hashes:
-        for j in hashes:
-            if i < j and ((text[i] or "") == (text[j] or "") or (len(hashes[i]) and len(hashes[j]) and neardup.linked(hashes[i], hashes[j]))):
+    for i in text:
+        for j in text:
+            if i < j and like(text[i], text[j]):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
-    assert got == {i: find(i) for i in hashes}
+    assert got == {i: find(i) for i in text}
     kept = neardup.distinct(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()
     assert sorted(x.doc_id for x in kept) == sorted(set(got.values()))
 
@@ -239,16 +255,26 @@ def test_one_row_of_each_class_stays_under_null_and_equal_ids(spark):
     assert got == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5]), (7, texts[6]), (None, "")], key=str)
 
 
-def test_like_texts_share_one_of_their_rarest_shingles():
-    r = np.random.default_rng(5)
-    counts = r.integers(0, 9, neardup.CELLS)
-    for _ in range(300):
-        x = r.integers(0, 2**63, r.integers(1, 60)).astype(np.uint64)
-        n = int(r.integers(0, len(x) // 9 + 2))
-        y = np.concatenate([x[n:], r.integers(0, 2**63, n).astype(np.uint64)])
-        both = len(np.intersect1d(x, y))
-        if both / (len(x) + len(y) - both) >= neardup.LEAST:
-            assert len(np.intersect1d(neardup.rarest(x, counts), neardup.rarest(y, counts)))
+def test_linked_texts_share_one_of_their_rarest_words():
+    r = random.Random(5)
+    counts = np.random.default_rng(5).integers(0, 9, neardup.CELLS)
+    met = 0
+    for _ in range(400):
+        x = [r.randint(1, 40) for _ in range(r.randint(1, 60))]
+        y = [r.randint(1, 99) if r.random() < 0.12 else w for w in x if r.random() > 0.04]
+        if y and edits(x, y) <= 0.2 * max(len(x), len(y)):
+            a, b = (hashing.mix(np.array(t, np.uint64)) for t in (x, y))
+            assert neardup.linked(a, b) and len(np.intersect1d(neardup.rarest(a, counts), neardup.rarest(b, counts)))
+            met += 1
+    assert met > 100
+
+
+def test_near_duplicates_reach_pairs_of_low_shingle_similarity(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    got = {r.doc_id: r.class_id for r in neardup.query(spark, sf_dir).collect()}
+    long = [(r.doc_id, r.text) for r in docs if len(split(r.text)) >= 20]
+    pairs = [(i, j) for i, a in long for j, b in long if i < j and like(a, b)]
+    assert pairs and sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs)
 
 
 def test_segments_equal_the_slow_definition():

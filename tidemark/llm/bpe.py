@@ -15,7 +15,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, table, utf8
+from tidemark.llm.common import keep, map_rows, table, utf8
 
 #: Words kept per Python worker, in each of two generations.
 CACHE = 300_000
@@ -264,6 +264,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     """
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
+        keep("bpe", encoder.cache_clear)
         of = encoder(path).of
         last: tuple = (None, ())
         for key, raw in docs:
@@ -274,7 +275,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             last = raw, (sum(g[0] for g in got), b" ".join([g[1] for g in got]), b" ".join([g[2] for g in got]))
             yield key, *last[1]
 
-    out = map_rows(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")), rows, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded binary", chunk=500)
+    out = map_rows(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")), rows, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, ids binary, decoded binary", chunk=500, owner="bpe")
     return out.select("doc_id", "n_tokens", F.col("ids").cast("string"), F.col("decoded").cast("string"))
 
 

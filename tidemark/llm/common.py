@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,15 +28,37 @@ def shared_folder(spark: SparkSession) -> str:
         top = spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
         if spark.sparkContext.getConf().get("spark.master", "").startswith("local[") is False:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    top = f"{top.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+    if top not in _FOLDERS:
+        _FOLDERS.add(top)
+        atexit.register(_delete, spark, top)
+    return f"{top}/{uuid.uuid4().hex}"
+
+
+#: Folders of this process's applications: gone when it ends.
+_FOLDERS: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: a cut of the lineage that survives lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tm_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes what ``stored`` wrote, once nothing reads it any more."""
+    for t in tables:
+        _delete(t.sparkSession, t._tm_path)
 
 
 def fold(doc_id: str, n: int) -> Column:
@@ -47,7 +71,31 @@ def utf8(text: str) -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
-def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, chunk: int = 2000) -> DataFrame:
+#: Bytes of an Arrow batch that goes to a worker, about: long texts come in batches of few rows.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df, whose session sends batches of bounded size to Python from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+#: What this worker keeps from task to task, by operator: how it is let go. A worker serves many operators in turn.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, drop: Callable[[], None]) -> None:
+    _KEPT[owner] = drop
+
+
+def let_go(owner: str = "") -> None:
+    """Drops what operators other than ``owner`` keep in this worker."""
+    for name in [n for n in _KEPT if n != owner]:
+        _KEPT.pop(name)()
+
+
+def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, chunk: int = 2000, owner: str = "") -> DataFrame:
     """mapInArrow with a generator: rows(iterator of input tuples) yields output tuples, sent in chunks of bounded length."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,6 +109,7 @@ def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, c
                 yield from zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(owner)
         held: list[tuple] = []
         for row in rows(tuples(batches)):
             held.append(row)
@@ -71,7 +120,29 @@ def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, c
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow, strict=True)], schema=arrow)
         hand_back()
 
-    return df.mapInArrow(run, struct)
+    return bounded_batches(df).mapInArrow(run, struct)
+
+
+def summed(parts: DataFrame) -> dict[int, np.ndarray]:
+    """By k, the sum of vectors of doubles from rows (k int, n long, blob binary): added up one by one in order of n, so that neither a task nor the driver holds more than one of each k."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        for b in batches:
+            for k, blob in zip(b.column(0).to_pylist(), b.column(2), strict=True):
+                x = np.frombuffer(blob.as_buffer(), np.float64)
+                if k == now:
+                    total += x
+                    continue
+                if now is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()])], names=["k", "blob"])
+                now, total = k, x.copy()
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()])], names=["k", "blob"])
+        hand_back()
+
+    got = bounded_batches(parts).repartition("k").sortWithinPartitions("k", "n").mapInArrow(run, "k int, blob binary").toArrow()
+    return {k: np.frombuffer(b, np.float64) for k, b in zip(got.column("k").to_pylist(), got.column("blob").to_pylist(), strict=True)}
 
 
 def hand_back() -> None:

@@ -1,8 +1,8 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
 A sketch of a text keeps, under each of several hash functions, its ``ELL`` smallest occurrence-labelled runs of five words in the
-order in which they stand in the text; each is a band. Texts that share a band are candidates. A link needs five-word shingles (as
-multisets) with a Jaccard similarity of 0.8 or more, and an alignment of the words with an edit similarity of 0.8 or more.
+order in which they stand in the text; each is a band. Texts that share a band are candidates, and linked if an alignment of their
+words has an edit similarity (1 - edits / words of the longer text) of 0.8 or more.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, stored, table, utf8
+from tidemark.llm.common import forget, map_rows, stored, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
@@ -50,19 +50,11 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return labelled(run_hashes(words, SHINGLE))
 
 
-def rarest(runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Those of a text's shingles, the ones in the emptiest cells first, of which any text with a similarity of LEAST has one among its own."""
-    order = np.lexsort((runs, counts[(runs % _U(CELLS)).astype(np.int64)]))
-    return runs[order[: len(runs) - math.ceil(LEAST * len(runs) - 1e-9) + 1]]
-
-
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of the multisets of five-word shingles of two texts, given by their words' hashes."""
-    x, y = shingles(a), shingles(b)
-    if not len(x) or not len(y):
-        return float(len(x) == len(y))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+def rarest(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Those of a text's labelled words, the ones in the emptiest cells first, of which any text that is linked to it has one among its own."""
+    words = labelled(words)
+    order = np.lexsort((words, counts[(words % _U(CELLS)).astype(np.int64)]))
+    return words[order[: len(words) - math.ceil(LEAST * len(words) - 1e-9) + 1]]
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> int:
@@ -80,42 +72,51 @@ def _agree(a: np.ndarray, b: np.ndarray) -> int:
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Of two sequences, or most + 1 if it is larger: the alignment stays within a band of ``most`` diagonals either way.
 
-    Of each diagonal only the furthest place that d edits can reach is kept, so that like texts cost little more than a comparison.
+    Of each diagonal only the furthest place that d edits can reach is kept, all diagonals of a step at once, and those that ``most``
+    edits can no longer bring to the end are left out.
     """
     k = _agree(a, b)
     a, b = a[k:], b[k:]
     k = _agree(a[::-1], b[::-1])
     a, b = a[: len(a) - k], b[: len(b) - k]
     n, m = len(a), len(b)
-    if abs(n - m) > most:
+    goal = m - n
+    if abs(goal) > most:
         return most + 1
     if not n or not m:
         return max(n, m)
-    reach = {0: _agree(a, b)}
-    goal = m - n
+    zero = most + 2
+    reach = np.full(2 * most + 5, -2)
+    reach[zero] = 0  # the common start is gone
     for d in range(most + 1):
-        if reach.get(goal, -1) >= n:
+        if reach[goal + zero] >= n:
             return d
-        more: dict[int, int] = {}
-        for diagonal in range(-d - 1, d + 2):
-            i = max(reach.get(diagonal, -2) + 1, reach.get(diagonal + 1, -2) + 1, reach.get(diagonal - 1, -1))
-            i = min(i, n, m - diagonal)
-            if i < 0 or i + diagonal < 0 or abs(goal - diagonal) > most:
-                continue
-            j = i + diagonal
-            if i < n and j < m and a[i] == b[j]:
-                i += _agree(a[i:], b[j:])
-            more[diagonal] = i
-        reach = more
+        spare = most - d - 1
+        lo, hi = max(-d - 1, goal - spare), min(d + 1, goal + spare)
+        if lo > hi:
+            break
+        diagonal = np.arange(lo, hi + 1)
+        at = diagonal + zero
+        i = np.minimum(np.minimum(np.maximum(np.maximum(reach[at], reach[at + 1]) + 1, reach[at - 1]), n), m - diagonal)
+        j = i + diagonal
+        fine = (i >= 0) & (j >= 0)
+        inner = np.flatnonzero(fine & (i < n) & (j < m))
+        for x in inner[a[i[inner]] == b[j[inner]]].tolist():
+            i[x] += _agree(a[i[x] :], b[j[x] :])
+        reach[at] = np.where(fine, i, -2)
     return most + 1
 
 
 def linked(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
-    """Whether two texts, given by their words' hashes, are near duplicates."""
+    """Whether two texts, given by their words' hashes, are near duplicates: their edit similarity is ``least`` or more.
+
+    That many words of the longer text must be in the other one as well, which is looked at before they are aligned.
+    """
     longest = max(len(a), len(b))
-    if min(len(a), len(b)) < least * longest - 4 or jaccard(a, b) < least:  # shingles are four fewer than words
+    most = int((1 - least) * longest + 1e-9)
+    if longest - min(len(a), len(b)) > most or longest - len(np.intersect1d(labelled(a), labelled(b), assume_unique=True)) > most:
         return False
-    return edit_distance(a, b, int((1 - least) * longest + 1e-9)) <= (1 - least) * longest + 1e-9
+    return edit_distance(a, b, most) <= most
 
 
 def text_key(text: str) -> Column:
@@ -143,7 +144,7 @@ def components(links: DataFrame) -> DataFrame:
     take few turns and stars need no more than they must.
     """
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
+    labels = held = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
     for turn in count():
         near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         moved = labels.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
@@ -151,8 +152,10 @@ def components(links: DataFrame) -> DataFrame:
             jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
             moved = moved.join(jump, "root", "left").select("node", F.least("root", F.coalesce("next", "root")).alias("root"), "old")
         moved = stored(moved)
-        labels = moved.select("node", "root")
-        if moved.where("root <> old").isEmpty():
+        done = moved.where("root <> old").isEmpty()
+        forget(held)
+        held, labels = moved, moved.select("node", "root")
+        if done:
             return labels
 
 
@@ -180,12 +183,12 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def counted(words: DataFrame) -> np.ndarray:
-    """How many shingles fall into each of CELLS cells."""
+    """How many labelled words fall into each of CELLS cells."""
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
         cells = np.zeros(CELLS, np.int64)
         for (raw,) in texts:
-            np.add.at(cells, (shingles(np.frombuffer(raw, np.uint32).astype(_U)) % _U(CELLS)).astype(np.int64), 1)
+            np.add.at(cells, (labelled(np.frombuffer(raw, np.uint32).astype(_U)) % _U(CELLS)).astype(np.int64), 1)
         for i in np.flatnonzero(cells):
             yield int(i), int(cells[i])
 
@@ -195,44 +198,54 @@ def counted(words: DataFrame) -> np.ndarray:
     return counts
 
 
-def alike(words: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts (node, words) with different roots, among them all whose shingles have a similarity of LEAST.
+def alike(members: DataFrame, words: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members (bucket, node) that share a bucket and have different roots, among them all that are linked.
 
-    In any one order of all shingles, two such texts share one of their first fifths (``rarest``), and from the first that they share
-    on each has enough left for the similarity. In the order of rarity what is common to many texts comes last, and unlike texts
-    hardly meet. Large groups are paired in blocks.
+    A link leaves LEAST of the longer text's words in common. In any one order of all words two such texts share one of their first
+    fifths (``rarest``), and from the first that they share on each has enough left. In the order of rarity what is common to many
+    texts comes last, and unlike texts of a bucket hardly meet. Large groups are paired in blocks.
     """
     counts = words.sparkSession.sparkContext.broadcast(counted(words))
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
-        for node, raw in texts:
-            runs = shingles(np.frombuffer(raw, np.uint32).astype(_U))
-            for i, run in enumerate(rarest(runs, counts.value).view(np.int64).tolist()):
-                yield node, run, len(runs) - i, len(runs)
-
-    first = stored(map_rows(words.select("node", "words"), rows, "node binary, run long, rest int, n int"))
-    first = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        for node, raw, buckets, root in texts:
+            own = np.frombuffer(raw, np.uint32).astype(_U)
+            for i, word in enumerate(rarest(own, counts.value).tolist()):
+                for bucket in buckets:
+                    yield mixed(word, bucket), node, root, len(own) - i, len(own)
+
+    held = members.groupBy("node").agg(F.collect_set("bucket").alias("buckets")).join(words, "node").join(roots, "node", "left")
+    inputs = held.select("node", "words", "buckets", F.coalesce("root", "node").alias("root"))
+    first = stored(map_rows(inputs, rows, "run long, node binary, root binary, rest int, n int", chunk=20_000))
     groups = first.groupBy("run").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    first = stored(first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run"))
+    first = first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run")
     x = first.select("run", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("a"), F.col("root").alias("r1"), F.col("rest").alias("rest1"), F.col("n").alias("n1"))
     y = first.select("run", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("b"), F.col("root").alias("r2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"))
-    enough = (1 + LEAST) * F.least("rest1", "rest2") >= LEAST * (F.col("n1") + F.col("n2")) - 1e-9
+    enough = F.least("rest1", "rest2") >= LEAST * F.greatest("n1", "n2") - 1e-9
     return x.join(y, ["run", "block"]).where((F.col("a") < F.col("b")) & (F.col("r1") != F.col("r2")) & enough).select("a", "b").distinct()
 
 
+def mixed(word: int, bucket: int) -> int:
+    """One key for a word within a bucket; others that share it cost time only."""
+    x = (word ^ bucket * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    return (x ^ x >> 32) - (1 << 63)
+
+
 def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(node, root) of texts that near duplicates connect to others; a node without links may be missing.
 
     The members of a bucket (a band's value) are first held against its two leaders, those whose buckets are largest: a base text is
     in the largest ones, so its copies meet it. Where some are not connected, two others lead. All of a bucket that then still has
-    members of different groups meet by their rarest shingles (``alike``), which loses no pair that may be linked: every pair that
-    shares a bucket is decided, unless both are connected already.
+    members of different groups meet by their rarest words (``alike``), which loses no pair that may be linked: every pair that shares
+    a bucket is decided, unless both are connected already.
     """
     spark = docs.sparkSession
     members = sketched.select("node", "bands").where(F.size("bands") > 0).dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     size = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(members.join(size, "bucket"))
     if shared.isEmpty():
+        forget(shared)
         return spark.createDataFrame([], "node binary, root binary")
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
@@ -259,14 +272,14 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
         if left.isEmpty():
             return roots
     rest = stored(words.join(left.select("node").distinct(), "node", "left_semi"))
-    return contracted(stored(verified(stored(alike(rest, roots)), words)), roots)
+    return contracted(stored(verified(stored(alike(left.select("bucket", "node"), rest, roots)), rest)), roots)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, node, root, class_id) of every row; root stands for the class: class_id is the smallest doc_id among the texts that near duplicates connect.
 
-    Null and empty texts, and others without words, are linked to exact copies only (null counts as empty). Texts under five words
-    have one shingle, all their words. Rows that repeat are in one class; null ids are passed over for class_id, which is null if
+    Null and empty texts, and others without words, are linked to exact copies only (null counts as empty). Texts of five words or
+    fewer have one run, all their words. Rows that repeat are in one class; null ids are passed over for class_id, which is null if
     a class has no other.
     """
     sketched = stored(sketches(docs, doc_id, text))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hand_back, map_rows, stored, table, utf8
+from tidemark.llm.common import bounded_batches, forget, hand_back, let_go, map_rows, stored, table, utf8
 from tidemark.llm.hashing import mix
 from tidemark.llm.suffixes import suffixes
 
@@ -135,6 +135,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(o[s]), pa.array(packed[s])], names=["key", "row", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         yield from find(t for b in batches for at in range(0, b.num_rows, 256) for t in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True))
         hand_back()
 
@@ -161,7 +162,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(row[at]), pa.array(np.where(own[at], packed[at] >> 1, -1 - packed[at]))], names=["row", "place"])
             key, row, packed = key[end:], row[end:], packed[end:]
 
-    found = rows.select("row", "raw").mapInArrow(run, "key long, row long, packed long")
+    found = bounded_batches(rows).select("row", "raw").mapInArrow(run, "key long, row long, packed long")
     met = found.repartition("key").sortWithinPartitions("key", "packed").mapInArrow(again, "row long, place long")
     return met.groupBy("row").agg(F.collect_set("place").alias("places"))
 
