@@ -104,10 +104,34 @@ def test_language_base_and_normalisation(spark, awkward):
         assert r.train_tokens == n and r.n_tokens == len(w) and r.n_known == sum(counts[x] > 0 for x in w)
         assert math.isclose(r.base_score, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9, abs_tol=1e-9)
         assert r.score < 0
-    net = language.Network.fresh(np.full(language.CLASSES, 1 / language.CLASSES))
-    before = np.full((1, language.WORDS_BACK), language.START, np.int16)
-    p = net.log10(np.repeat(before, language.CLASSES, 0), np.arange(language.CLASSES, dtype=np.int16))
-    assert math.isclose((10**p).sum(), 1, rel_tol=1e-4)
+    assert language.Classes.of(np.full(3000, 1 / 3000)).edges[-1] == 3000
+
+
+def test_language_model_is_normalised_over_words_and_doesnt_depend_on_partitions(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    first, words, net = language.scores(docs.repartition(1))
+    again, _, other = language.scores(docs.repartition(5))
+    for name in (*language.BY_CLASS, *language.OTHERS):
+        assert np.allclose(getattr(net, name), getattr(other, name), rtol=1e-5, atol=1e-6)
+    a, b = ({r.doc_id: (r.n_tokens, r.n_known, r.score) for r in x.collect()} for x in (first, again))
+    assert set(a) == set(b) and all(a[k][:2] == b[k][:2] and math.isclose(a[k][2], b[k][2], rel_tol=1e-6) for k in a)
+    n = len(words.classes.share)
+    rng = np.random.default_rng(1)
+    for _ in range(3):
+        before = np.repeat(rng.integers(0, n + 1, (1, language.WORDS_BACK)).astype(np.int16), n, 0)
+        of_class = 10 ** net.log10(before, np.arange(n, dtype=np.int16))
+        total = np.zeros(n)  # of each class's words: those with a class of their own, the end, the others and one unseen word
+        total[words.end] = 1
+        for place, (k, c) in enumerate(zip(words.of_place, words.counts)):
+            total[k] += 1 if place < words.own else (c + 1) / words.within[k]
+        for k in words.shared:
+            total[k] += 1 / words.within[k]
+        assert math.isclose((of_class * total).sum(), 1, rel_tol=1e-4) and np.allclose(total, 1)
+
+
+def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
+    got = [r for r in language.query(spark, sf_dir).collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got) > 0.05
 
 
 def test_suffix_order_and_common_prefixes():

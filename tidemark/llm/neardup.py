@@ -21,6 +21,7 @@ from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
 #: Rounds in which buckets are held against leaders, cells in which shingles are counted, and rows of a block of pairs.
 ROUNDS, CELLS, BLOCK = 2, 1 << 20, 500
+SPREAD = 128
 _U = np.uint64
 _ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
@@ -140,22 +141,23 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for the nodes of links (a, b): the smallest node that each is connected to.
 
-    Labels spread along links until none changes; from the third turn on they also jump to their label's label, so that long chains
-    take few turns and stars need no more than they must.
+    Labels that changed spread along links until none does; from the third turn on they also jump to their label's label, so that long
+    chains take few turns and stars need no more than they must.
     """
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = held = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
+    changed = labels
     for turn in count():
-        near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        moved = labels.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
+        near = both.join(changed.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        moved = labels.join(near, "node", "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old"))
         if turn > 1:
             jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
             moved = moved.join(jump, "root", "left").select("node", F.least("root", F.coalesce("next", "root")).alias("root"), "old")
         moved = stored(moved)
-        done = moved.where("root <> old").isEmpty()
+        labels, changed = moved.select("node", "root"), moved.where("root <> old").select("node", "root")
         forget(held)
-        held, labels = moved, moved.select("node", "root")
-        if done:
+        held = moved
+        if changed.isEmpty():
             return labels
 
 
@@ -198,12 +200,18 @@ def counted(words: DataFrame) -> np.ndarray:
     return counts
 
 
+def spread(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each of SPREAD cells, up to 127. Texts that are linked differ by few: each edit moves two words at most."""
+    return np.minimum(np.bincount((words >> _U(7)).astype(np.int64) % SPREAD, minlength=SPREAD), 127).astype(np.int8)
+
+
 def alike(members: DataFrame, words: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a, b) of members (bucket, node) that share a bucket and have different roots, among them all that are linked.
 
     A link leaves LEAST of the longer text's words in common. In any one order of all words two such texts share one of their first
     fifths (``rarest``), and from the first that they share on each has enough left. In the order of rarity what is common to many
-    texts comes last, and unlike texts of a bucket hardly meet. Large groups are paired in blocks.
+    texts comes last, and unlike texts of a bucket hardly meet; those that do are told apart by their words' ``spread``, which differs
+    by n1 + n2 - 2 * LEAST * longest at most in linked ones. Large groups are paired in blocks.
     """
     counts = words.sparkSession.sparkContext.broadcast(counted(words))
 
@@ -219,9 +227,17 @@ def alike(members: DataFrame, words: DataFrame, roots: DataFrame) -> DataFrame:
     first = stored(map_rows(inputs, rows, "run long, node binary, root binary, rest int, n int", chunk=20_000))
     groups = first.groupBy("run").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     first = first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run")
-    x = first.select("run", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("a"), F.col("root").alias("r1"), F.col("rest").alias("rest1"), F.col("n").alias("n1"))
-    y = first.select("run", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("b"), F.col("root").alias("r2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"))
-    enough = F.least("rest1", "rest2") >= LEAST * F.greatest("n1", "n2") - 1e-9
+
+    def spreads(texts: Iterator[tuple]) -> Iterator[tuple]:
+        for node, raw in texts:
+            yield node, spread(np.frombuffer(raw, np.uint32).astype(_U)).tolist()
+
+    first = stored(first.join(map_rows(words.select("node", "words"), spreads, "node binary, spread array<tinyint>"), "node"))
+    x = first.select("run", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("a"), F.col("root").alias("r1"), F.col("rest").alias("rest1"), F.col("n").alias("n1"), F.col("spread").alias("s1"))
+    y = first.select("run", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("b"), F.col("root").alias("r2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"), F.col("spread").alias("s2"))
+    longest = F.greatest("n1", "n2")
+    apart = F.aggregate(F.zip_with("s1", "s2", lambda p, q: F.abs(p - q)), F.lit(0), lambda t, v: t + v)
+    enough = (F.least("rest1", "rest2") >= LEAST * longest - 1e-9) & (apart <= F.col("n1") + F.col("n2") - 2 * LEAST * longest + 1e-9)
     return x.join(y, ["run", "block"]).where((F.col("a") < F.col("b")) & (F.col("r1") != F.col("r2")) & enough).select("a", "b").distinct()
 
 
