@@ -4,44 +4,48 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fit_logistic, hand_back, map_rows, sigmoid, table, utf8
+from tidemark.llm.common import fit_logistic, forget, map_rows, sigmoid, stored, summed, table, utf8
+from tidemark.llm.hashing import word_hashes
 from tidemark.llm.rules import sampled_labels
-from tidemark.llm.stats import features, text_stats
-
-#: Labelled rows, and unlabelled rows, that the views learn from, at most: those with the smallest hash of their id.
-SAMPLE, POOL = 20_000, 10_000
-#: Hashed cells of each metadata column.
-CELLS = 64
+from tidemark.llm.stats import FEATURES, features, text_stats
+
+#: Labelled rows that the views learn from, at most: those with the smallest hash of their id.
+SAMPLE = 20_000
+#: Hashed cells of a text's words, and of each metadata column.
+WORDS, CELLS = 128, 64
+TEXT, META = 1 + 2 * len(FEATURES) + WORDS, 1 + 2 * CELLS
+#: Rounds of co-training; in each a view labels ``SHARE`` more of all unlabelled rows, those it is surest of, from a probability of SURE on.
+ROUNDS, SHARE, SURE = 3, 0.1, 0.9
+#: Steps in which sureness is counted, and what a taught row weighs beside a labelled one.
+STEPS, TAUGHT = 1000, 0.5
 #: Rows with this score or more are kept.
 KEEP = 0.3
 
 
-def text_view(stats: np.ndarray) -> np.ndarray:
-    """Statistics as features: each on a bounded scale, with its square, and a constant."""
-    x = features(stats)
-    x[:, 0] = np.log1p(x[:, 0]) / 10
-    x[:, 1] = np.minimum(x[:, 1], 40) / 10
-    x[:, 5] = np.log1p(x[:, 5]) / 5
+def text_features(raw: bytes) -> np.ndarray:
+    """Of one text: statistics on bounded scales with their squares, and its words' shares in hashed cells; no metadata."""
+    x = features([text_stats(raw)])[0]
+    x[0] = np.log1p(x[0]) / 10
+    x[1] = min(x[1], 40) / 10
+    x[5] = np.log1p(x[5]) / 5
     x = np.minimum(x, 4)
-    return np.column_stack([np.ones(len(x)), x, x * x])
-
-
-def metadata_view(lang: list[str | None], source: list[str | None], n_chars: list[int | None]) -> np.ndarray:
-    """Hashed language and source, and the stated length in steps of the logarithm; nulls have cells of their own."""
-    out = np.zeros((len(lang), 1 + 3 * CELLS))
-    out[:, 0] = 1
-    for k, column in enumerate((lang, source)):
-        for i, v in enumerate(column):
-            out[i, 1 + k * CELLS + (0 if v is None else 1 + zlib.crc32(v.encode()) % (CELLS - 1))] = 1
-    for i, v in enumerate(n_chars):
-        out[i, 1 + 2 * CELLS + (0 if v is None else min(CELLS - 1, 1 + int(2 * np.log2(1 + max(v, 0)))))] = 1
+    hashes = word_hashes(raw)
+    cells = np.sqrt(np.bincount((hashes >> np.uint64(9)).astype(np.int64) % WORDS, minlength=WORDS) / max(1, len(hashes)))
+    return np.concatenate([[1.0], x, x * x, cells])
+
+
+def metadata_features(lang: str | None, source: str | None) -> np.ndarray:
+    """Hashed language and source; nulls have cells of their own. Nothing that the text says, not even its length."""
+    out = np.zeros(META)
+    out[0] = 1
+    for k, v in enumerate((lang, source)):
+        out[1 + k * CELLS + (0 if v is None else 1 + zlib.crc32(v.encode()) % (CELLS - 1))] = 1
     return out
 
 
@@ -72,91 +76,151 @@ def calibrated(view: View, x: np.ndarray, y: np.ndarray) -> View:
     return View(view.weights, float(max(slope, 0)), float(shift))
 
 
-def learn(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools: tuple[np.ndarray, np.ndarray], rounds: int = 5, share: float = 0.1, sure: float = 0.9) -> Model:
-    """Co-training from labelled rows (their two views, y) and a pool of unlabelled rows.
+def _batches(rows: Iterator[tuple], most: int = 2000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Both views of rows (text features, metadata features as bytes), many at a time."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == most:
+            yield tuple(np.frombuffer(b"".join(c), np.float32).reshape(len(held), -1).astype(float) for c in zip(*held, strict=True))
+            held = []
+    if held:
+        yield tuple(np.frombuffer(b"".join(c), np.float32).reshape(len(held), -1).astype(float) for c in zip(*held, strict=True))
+
+
+def sureness(pool: DataFrame, views: tuple[View, View]) -> np.ndarray:
+    """[view, class, step]: how many rows of the pool each view gives to each class with that sureness."""
+
+    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
+        counts = np.zeros((2, 2, STEPS))
+        for x in _batches(found):
+            for k, view in enumerate(views):
+                p = sigmoid(view.log_odds(x[k]))
+                for label, sure in ((1, p), (0, 1 - p)):
+                    counts[k, label] += np.bincount(np.minimum((sure * STEPS).astype(int), STEPS - 1), minlength=STEPS)
+        yield 0, 0, counts.tobytes()
+
+    got = summed(map_rows(pool, rows, "k int, n long, blob binary"))
+    return got[0].reshape(2, 2, STEPS) if got else np.zeros((2, 2, STEPS))
+
+
+def newton(pool: DataFrame, views: tuple[View, View], teachers: tuple[View, View], least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each view, gradient and Hessian of the logistic loss over all rows of the pool that its teacher, the other view, labels: those with a sureness step of least[teacher, class] or more."""
+
+    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
+        total = [(np.zeros(d), np.zeros((d, d))) for d in (TEXT, META)]
+        for x in _batches(found):
+            for k, (g, h) in enumerate(total):
+                p = sigmoid(teachers[1 - k].log_odds(x[1 - k]))
+                step = lambda sure: np.minimum((sure * STEPS).astype(int), STEPS - 1)
+                up, down = step(p) >= least[1 - k, 1], step(1 - p) >= least[1 - k, 0]
+                at = np.flatnonzero(up | down)
+                own, y = x[k][at], (up & (p >= 0.5))[at].astype(float)
+                q = sigmoid(own @ views[k].weights)
+                g += TAUGHT * (own.T @ (q - y))
+                h += TAUGHT * ((own * (q * (1 - q))[:, None]).T @ own)
+        for k, (g, h) in enumerate(total):
+            yield k, 0, np.concatenate([g, h.reshape(-1)]).tobytes()
+
+    got = summed(map_rows(pool, rows, "k int, n long, blob binary"))
+    out = []
+    for k, d in enumerate((TEXT, META)):
+        x = got.get(k, np.zeros(d + d * d))
+        out.append((x[:d], x[d:].reshape(d, d)))
+    return out
+
+
+def thresholds(counts: np.ndarray, rate: float, share: float, sure: float = SURE) -> np.ndarray:
+    """[view, class]: the step from which on a view is sure enough: ``share`` of all rows at most, each class in proportion to its prior."""
+    least = np.empty((2, 2), int)
+    for k in range(2):
+        total = counts[k, 1].sum()
+        for label, part in ((1, rate), (0, 1 - rate)):
+            above = np.cumsum(counts[k, label][::-1])[::-1]
+            fits = np.flatnonzero(above <= max(1.0, share * part * total))
+            least[k, label] = max(int(sure * STEPS), int(fits[0]) if len(fits) else STEPS - 1)
+    return least
 
-    A third of the labelled rows is kept for calibration. In each round each view labels the pool rows it is surest of, at most
-    ``share`` of the pool, each class in proportion to its prior and only where its calibrated probability is ``sure`` or more,
-    and the other view learns from them. No labels of one class: the score is the prior.
+
+def learn(own: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: DataFrame, ridge: float = 1e-3) -> Model:
+    """Co-training from labelled rows (their two views, y) and all unlabelled rows (t, m: both views' features).
+
+    A third of the labelled rows is kept for calibration. In each round each view labels anew the pool rows that it is surest of, a
+    share that grows from round to round, and the other view learns from them by Newton steps, whose sums Spark makes over the whole
+    pool. No labels of one class: the score is the prior.
     """
     rate = float((y.sum() + 1) / (len(y) + 2))
     prior = float(np.log(rate / (1 - rate)))
     if not len(y) or y.min() == y.max():
-        return Model(*(View(np.zeros(v.shape[1]), 1.0, prior) for v in views), prior)
+        return Model(*(View(np.zeros(d), 1.0, prior) for d in (TEXT, META)), prior)
     held = np.arange(len(y)) % 3 == 2 if len(y) >= 60 else np.zeros(len(y), bool)
     at = held if held.any() and 0 < y[held].mean() < 1 else ~held
-    own = [(v[~held], y[~held], np.ones((~held).sum())) for v in views]
-    free = np.ones(len(pools[0]), bool)
-
-    def fitted() -> list[View]:
-        return [calibrated(View(fit_logistic(x, t, w)), v[at], y[at]) for (x, t, w), v in zip(own, views, strict=True)]
-
-    for _ in range(rounds):
-        if not free.any():
-            break
-        taught = []
-        for view, pool in zip(fitted(), pools, strict=True):
-            p = sigmoid(view.log_odds(pool))
-            picks = []
-            for label, sureness, part in ((1.0, p, rate), (0.0, 1 - p, 1 - rate)):
-                order = np.argsort(-np.where(free, sureness, -1), kind="stable")[: max(1, int(share * part * len(pool)))]
-                picks.append((order[(sureness[order] >= sure) & free[order]], label))
-            taught.append(picks)
-        for k, picks in enumerate(taught):
-            x, t, w = own[1 - k]
-            for rows, label in picks:
-                x, t, w = np.concatenate([x, pools[1 - k][rows]]), np.concatenate([t, np.full(len(rows), label)]), np.concatenate([w, np.full(len(rows), 0.5)])
-                free[rows] = False
-            own[1 - k] = x, t, w
-    return Model(*fitted(), prior)
-
-
-def _views(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """rows: (stats, lang, source, n_chars)."""
-    return text_view(np.array([r[0] for r in rows], float)), metadata_view(*(list(c) for c in list(zip(*rows, strict=True))[1:])) if rows else metadata_view([], [], [])
-
-
-def _inputs(docs: DataFrame, *more) -> DataFrame:
-    return docs.select(*more, utf8("text").alias("_tm_text"), F.col("lang").cast("string").alias("_tm_lang"), F.col("source").cast("string").alias("_tm_source"), F.col("n_chars").cast("long").alias("_tm_chars"))
-
-
-def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pool: int = POOL) -> Model:
-    """Only statistics of at most ``most`` labelled and ``pool`` other rows go to the driver."""
+    x, t = [v[~held] for v in own], y[~held]
+    views = [calibrated(View(fit_logistic(v, t, ridge=ridge)), w[at], y[at]) for v, w in zip(x, own, strict=True)]
+    for turn in range(ROUNDS):
+        teachers = tuple(views)
+        least = thresholds(sureness(pool, teachers), rate, SHARE * (turn + 1))
+        for _ in range(2):
+            for k, (g, h) in enumerate(newton(pool, tuple(views), teachers, least)):
+                w = views[k].weights
+                p = sigmoid(x[k] @ w)
+                g = g + x[k].T @ (p - t) + ridge * len(t) * w
+                h = h + (x[k] * (p * (1 - p))[:, None]).T @ x[k] + (ridge * len(t) + 1e-6) * np.eye(len(w))
+                step = np.linalg.solve(h, g)
+                views[k] = replace(views[k], weights=w - step * min(1.0, 5 / max(np.abs(step).max(), 1e-9)))
+        views = [calibrated(v, w[at], y[at]) for v, w in zip(views, own, strict=True)]
+    return Model(*views, prior)
+
+
+def _inputs(docs: DataFrame, *more: str | Column) -> DataFrame:
+    return docs.select(*more, utf8("text").alias("_tm_text"), F.col("lang").cast("string").alias("_tm_lang"), F.col("source").cast("string").alias("_tm_source"))
+
+
+def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
+    """The model of at most ``most`` labelled rows and all others, whose features are written once; only labelled ones go to the driver."""
     label = F.broadcast(sampled_labels(labels, "quality", most))  # at most ``most`` rows
-    ids = F.broadcast(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_tm_id")).orderBy(F.xxhash64("_tm_id", F.lit(1)), "_tm_id").limit(pool).distinct())  # at most ``pool`` rows
-    labelled = docs.join(label, F.col("doc_id") == F.col("_tm_id"))
-    unlabelled = docs.join(ids, F.col("doc_id") == F.col("_tm_id")).withColumn("_tm_label", F.lit(-1))
-    both = _inputs(labelled, "doc_id", "_tm_label").unionByName(_inputs(unlabelled, "doc_id", "_tm_label"))
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
         for key, y, raw, *meta in docs:
-            yield key, y, list(text_stats(raw)), *meta
+            yield key, y, text_features(raw).astype(np.float32).tobytes(), metadata_features(*meta).astype(np.float32).tobytes()
 
-    got = map_rows(both, rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, stats array<long>, lang string, source string, chars long").toArrow()
-    got = list(zip(*(c.to_pylist() for c in got.columns), strict=True))
-    got.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r)))
-    known = [r for r in got if r[1] >= 0]
-    own = {r[0] for r in known}
-    free = [r for r in got if r[1] < 0 and r[0] not in own]
-    return learn(_views([r[2:] for r in known]), np.array([float(r[1] > 0) for r in known]), _views([r[2:] for r in free]))
+    all_ = docs.join(label, F.col("doc_id") == F.col("_tm_id"), "left")
+    seen = stored(map_rows(_inputs(all_, "doc_id", F.col("_tm_label").cast("int").alias("y")), rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, t binary, m binary"))
+    got = seen.where("y is not null").toArrow()
+    got = sorted(zip(*(c.to_pylist() for c in got.columns), strict=True), key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0]), r[2], r[3]))
+    own = tuple(np.frombuffer(b"".join(r[k] for r in got), np.float32).reshape(len(got), d).astype(float) for k, d in ((2, TEXT), (3, META)))
+    model = learn(own, np.array([float(r[1] > 0) for r in got]), seen.where("y is null").select("t", "m"))
+    forget(seen)
+    return model
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with the columns doc_id, _tm_score: the probability of good quality, for every row.
+    """docs with _tm_score: the probability of good quality, for every row.
 
-    Null and empty texts have statistics of 0 and nulls in lang, source and n_chars cells of their own; rows that repeat score alike.
+    Null and empty texts have statistics of 0 and no words; nulls in lang and source have cells of their own; rows that repeat score
+    alike, and a tie at the bound is kept.
     """
-    @F.pandas_udf("double")
-    def score(text: pd.Series, lang: pd.Series, source: pd.Series, chars: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(text), 1000):
-            part = slice(at, at + 1000)
-            chars_ = [None if pd.isna(c) else int(c) for c in chars[part]]
-            out.append(model.score(*_views(list(zip(map(text_stats, text[part]), lang[part], source[part], chars_, strict=True)))))
-        hand_back()
-        return pd.Series(np.concatenate(out) if out else [], dtype=float)
 
-    return docs.withColumn("_tm_score", score(utf8("text"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long")))
+    def rows(found: Iterator[tuple]) -> Iterator[tuple]:
+        held: list[tuple] = []
+        views: list[tuple] = []
+
+        def done() -> Iterator[tuple]:
+            for row, p in zip(held, model.score(*(np.stack(v) for v in zip(*views, strict=True))), strict=True):
+                yield *row, float(p)
+            held.clear()
+            views.clear()
+
+        for *own, raw, lang, source in found:
+            held.append(tuple(own))
+            views.append((text_features(raw), metadata_features(lang, source)))
+            if len(held) == 500:
+                yield from done()
+        if held:
+            yield from done()
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_rows(_inputs(docs, *docs.columns), rows, f"{fields}, _tm_score double", chunk=200)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFrame:
@@ -166,5 +230,5 @@ def accepted(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFra
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    out = scored(docs.select("doc_id", "text", "lang", "source", "n_chars"), learn_from(docs, labels))
+    out = scored(docs.select("doc_id", "text", "lang", "source"), learn_from(docs, labels))
     return out.select("doc_id", F.col("_tm_score").alias("score"), (F.col("_tm_score") >= KEEP).alias("kept"))
