@@ -129,9 +129,9 @@ def test_language_model_is_normalised_over_words_and_doesnt_depend_on_partitions
         assert math.isclose((of_class * total).sum(), 1, rel_tol=1e-4) and np.allclose(total, 1)
 
 
-def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
-    got = [r for r in language.query(spark, sf_dir).collect() if r.held_out]
-    assert sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got) > 0.05
+def test_language_model_beats_the_base_on_held_out_texts(spark):
+    got = [r for r in language.query(spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    assert sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got) > 0.1
 
 
 def test_suffix_order_and_common_prefixes():
@@ -304,8 +304,8 @@ def test_near_duplicates_reach_pairs_of_low_shingle_similarity(spark, sf_dir):
 def test_segments_equal_the_slow_definition():
     r = random.Random(6)
     for _ in range(200):
-        score = [r.choice([-1.0, -1.0, 2.0, 3.0]) for _ in range(r.randint(0, 25))]
-        got = toxicity.segments([(i, s) for i, s in enumerate(score) if s > 0], len(score), 1.0)
+        score = [r.choice([-4.0, -1.0, -1.0, 2.0, 3.0]) for _ in range(r.randint(0, 25))]
+        got = toxicity.segments(np.array(score))
 
         def slow(lo, hi):  # the best stretch, shortest and first, then both sides of it
             best = max(((sum(score[a:b]), -(b - a), -a) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=(0, 0, 0))
@@ -319,21 +319,25 @@ def test_segments_equal_the_slow_definition():
         assert len(got) == len(slow(0, len(score)))
 
 
-def test_toxicity_held_out(spark, sf_dir, awkward):
-    got = toxicity.query(spark, sf_dir).join(common.table(spark, sf_dir, "labels"), "doc_id").where("held_out").collect()
-    assert np.mean([r.predicted == r.toxic for r in got]) >= 0.8
+def test_toxicity_held_out(spark, awkward):
+    d = "/root/testdata/sf0.01"
+    got = toxicity.query(spark, d).join(common.table(spark, d, "labels"), "doc_id").where("held_out").collect()
+    toxic, clean = ([r.predicted for r in got if r.toxic == k] for k in (1, 0))
+    assert len(toxic) >= 10 and np.mean(toxic) >= 0.6 and np.mean(clean) <= 0.05
     top, rows = awkward
     odd = toxicity.query(spark, top).collect()
     assert len(odd) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in odd)
 
 
+def test_passages_are_found_where_they_are():
+    model = toxicity.Model({b"vile": 3.0, b"rot": 2.0, b"kind": -2.0}, 0.5, 1.0, 0.01, np.array([-3.0, 2.0, 1.0]))
+    raw = b"all good here. You VILE, rot vile! so kind kind of you, \xc3\xa9 then vile"
+    best, total, found = model.evidence(raw)
+    assert [raw[a:b].lower() for a, b, _ in found] == [b"vile, rot vile", b"vile"] and best == max(x for *_, x in found) and total == pytest.approx(sum(x for *_, x in found))
+    assert model.evidence(b"") == (0.0, 0.0, [])
+
+
 def test_cotraining(spark, sf_dir, awkward):
-    rng = np.random.default_rng(2)
-    y = (rng.random(900) < 0.7).astype(float)
-    a = np.column_stack([np.ones(900), y + rng.normal(0, 0.6, 900)])
-    b = np.column_stack([np.ones(900), y + rng.normal(0, 0.6, 900)])
-    model = cotraining.learn((a[:60], b[:60]), y[:60], (a[60:500], b[60:500]))
-    assert ((model.score(a[500:], b[500:]) >= 0.5) == (y[500:] > 0)).mean() > 0.85
     top, rows = awkward
     got = cotraining.query(spark, top).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
@@ -341,6 +345,36 @@ def test_cotraining(spark, sf_dir, awkward):
     assert cotraining.accepted(docs, common.table(spark, top, "labels")).columns == docs.columns
 
 
+def test_cotraining_on_labels_that_it_has_not_seen(spark):
+    docs, labels = (common.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    unseen = common.fold("doc_id", 5) == 1
+    got = cotraining.scored(docs, cotraining.learn_from(docs, labels.where(~unseen))).join(labels.where(unseen), "doc_id").collect()
+    good = [r._tm_score >= cotraining.KEEP for r in got if r.quality]
+    bad = [r._tm_score < cotraining.KEEP for r in got if not r.quality]
+    assert len(good) + len(bad) > 50 and np.mean(good) >= 0.95 and np.mean(bad) >= 0.7
+
+
+def test_views_teach_each_other_over_the_whole_pool(spark):
+    """Few labels, two weak views: what the pool adds must show."""
+    rng = np.random.default_rng(2)
+    y = rng.random(3000) < 0.7
+    words = [" ".join(rng.choice(["calm", "plain", "even"] if rng.random() < 0.5 + 0.35 * (1 if t else -1) else ["loud", "odd", "torn"], 30)) for t in y]
+    source = ["ab"[int(rng.random() < 0.5 + 0.4 * (1 if t else -1))] for t in y]
+    docs = spark.createDataFrame([(i, w, "en", s, 1) for i, (w, s) in enumerate(zip(words, source))], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(y[i])) for i in range(60)], "doc_id long, quality int")
+    got = {r.doc_id: r._tm_score for r in cotraining.scored(docs, cotraining.learn_from(docs, labels)).collect()}
+    assert np.mean([(got[i] >= 0.5) == y[i] for i in range(60, 3000)]) > 0.85
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 1), (2, 1, 1)], [(1, 0, 0), (2, 0, 0)]])
+def test_labels_of_one_kind_or_none(spark, awkward, tmp_path, labels):
+    top, rows = awkward
+    common.table(spark, top, "documents").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (rules.query, toxicity.query, cotraining.query):
+        assert query(spark, str(tmp_path)).count() == len(rows)
+
+
 def test_nearest(spark, awkward):
     got = {}
     for r in nearest.query(spark, awkward[0]).collect():

@@ -7,33 +7,38 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fit_logistic, fold, map_rows, stored, table, utf8
+from tidemark.llm.common import fit_logistic, fold, forget, map_rows, stored, table, utf8
 from tidemark.llm.rules import sampled_labels
 
 #: Labelled rows that the model is learned from, at most: those with the smallest hash of their id.
 SAMPLE = 40_000
 TOKEN = re.compile(rb"[a-z\x80-\xff]+")
-#: Tokens of the lexicon at most, those with the largest z.
-LEXICON = 20_000
+#: Weight of the Dirichlet prior, in tokens, and standard errors that a log-odds must be from 0 to count.
+PRIOR, ERRORS = 500.0, 4.0
+#: Uses in toxic texts that also tell a token without any in clean ones, if its log-odds are that high.
+ALONE, HIGH = 8, 3.0
+#: Best segments of a labelled row that the calibration is fitted on; scoring counts all.
+MOST = 50
 
 
-def segments(scores: list[tuple[int, float]], length: int, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score) of a text of ``length`` tokens, in linear time.
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (start, end, score) of a text's token scores, in linear time.
 
-    scores has (place, score > 0) in order of place; every other token scores -drift. Each candidate keeps the running sum before
-    it and at its end; a new one joins the nearest earlier candidate that starts lower, if that ends lower too, and what lies between.
+    Each candidate keeps the running sum before it and at its end; a token that scores above 0 opens one, which joins the nearest
+    earlier candidate that starts lower, if that ends lower too, and what lies between.
     """
     open_: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum at end
     lower: list[int] = []  # for each candidate, the nearest earlier one whose sum before is smaller
-    total, at = 0.0, 0
-    for place, score in scores:
-        total -= drift * (place - at)
-        start, end, before, after = place, place + 1, total, total + score
+    places = np.flatnonzero(scores > 0)
+    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    for place, before, after in zip(places.tolist(), sums[places].tolist(), sums[places + 1].tolist(), strict=True):
+        start, end = place, place + 1
         while True:
             j = len(open_) - 1
             while j >= 0 and open_[j][2] >= before:
@@ -44,28 +49,31 @@ def segments(scores: list[tuple[int, float]], length: int, drift: float) -> list
                 break
             start, before = open_[j][0], open_[j][2]
             del open_[j:], lower[j:]
-        total, at = after, place + 1
     return [(s, e, b - a) for s, e, a, b in open_]
 
 
 @dataclass
 class Model:
-    score: dict[bytes, float]
-    drift: float
+    score: dict[bytes, float]  # of tokens whose log-odds are told from 0; all others have 0
+    drift: float  # taken off every token
     scale: float  # lambda of the extreme-value law
     chance: float  # K of the extreme-value law
     weights: np.ndarray  # of the calibration: constant, evidence of the best segment, of all significant ones
 
     def passages(self, raw: bytes) -> tuple[list[tuple[int, int, float]], int]:
         tokens = TOKEN.findall(raw.lower())
-        get = self.score.get
-        hits = [(i, s) for i, t in enumerate(tokens) if (s := get(t)) is not None]
-        return segments(hits, len(tokens), self.drift), len(tokens)
+        scores = np.fromiter(map(self.score.get, tokens, repeat(0.0)), float, len(tokens))
+        return segments(scores - self.drift), len(tokens)
 
-    def evidence(self, raw: bytes) -> tuple[float, float, int]:
-        """-log E of the best segment, the sum over those with E < 1, and their number; 0 if there is none."""
+    def evidence(self, raw: bytes) -> tuple[float, float, list[tuple[int, int, float]]]:
+        """-log E of the best segment, the sum over those with E < 1, and these as (start, end, -log E) in bytes of the text."""
         found, n = self.passages(raw)
-        return self.weigh([s[2] for s in found], n)
+        best, total, _ = self.weigh([s[2] for s in found], n)
+        if not best:
+            return best, total, []
+        places = [m.span() for m in TOKEN.finditer(raw.lower())]
+        least = math.log(self.chance * max(n, 1))
+        return best, total, [(places[a][0], places[b - 1][1], x) for a, b, s in found if (x := self.scale * s - least) > 0]
 
     def weigh(self, scores: list[float], n: int) -> tuple[float, float, int]:
         least = [x for s in scores if (x := self.scale * s - math.log(self.chance * max(n, 1))) > 0]
@@ -76,30 +84,28 @@ class Model:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def log_odds(counts: list[tuple[bytes, int, int]], n1: int, n0: int, prior: float = 500.0, z: float = 4.0) -> dict[bytes, float]:
-    """Tokens (token, in toxic, in clean texts) that toxic texts have more often, with their log-odds under a Dirichlet prior in proportion to all counts."""
-    out = {}
-    for w, y1, y0 in counts:
-        a = prior * (y1 + y0) / (n1 + n0)
-        hi, lo = y1 + a, y0 + a
-        delta = math.log(hi / (n1 + prior - hi)) - math.log(lo / (n0 + prior - lo))
-        if delta / math.sqrt(1 / hi + 1 / lo) >= z or (y1 >= 8 and y0 == 0 and delta >= 3):
-            out[w] = delta
-    return out
+def log_odds(counted: DataFrame, n1: int, n0: int, prior: float = PRIOR, errors: float = ERRORS) -> DataFrame:
+    """(token, toxic, clean, score) of every token: its log-odds, above 0 or below, under a Dirichlet prior in proportion to all counts; 0 if that is within ``errors`` standard errors."""
+    a = prior * (F.col("toxic") + F.col("clean")) / float(n1 + n0)
+    hi, lo = F.col("toxic") + a, F.col("clean") + a
+    delta = F.log(hi / (n1 + prior - hi)) - F.log(lo / (n0 + prior - lo))
+    told = (F.abs(delta) >= errors * F.sqrt(1 / hi + 1 / lo)) | ((F.col("toxic") >= ALONE) & (F.col("clean") == 0) & (delta >= HIGH))
+    return counted.withColumn("score", F.when(told, delta).otherwise(0.0))
 
 
-def chance_law(counts: list[tuple[bytes, int, int]], lexicon: dict[bytes, float], n0: int) -> tuple[float, float]:
-    """(drift, lambda): what tokens outside the lexicon score, and the root of sum of p exp(lambda s) = 1 over clean texts."""
-    clean = {w: y0 for w, _, y0 in counts if w in lexicon}
+def chance_law(tokens: list[tuple[int, float]], n0: int) -> tuple[float, float]:
+    """(drift, lambda): what is taken off each token so that clean texts lose by chance, and the root of sum of p exp(lambda s) = 1 over them.
+
+    tokens: (uses in clean texts, score) of those whose score isn't 0.
+    """
     n0 = max(n0, 1)
-    rate = (sum(clean.values()) + 1) / n0
-    drift = max(0.05, 4 * rate * sum(lexicon.values()) / max(len(lexicon), 1))
-    p = np.array([(clean[w] + 1 / len(lexicon)) / n0 for w in lexicon])
-    s = np.array(list(lexicon.values()))
+    p = np.array([(c + 1 / max(len(tokens), 1)) / n0 for c, _ in tokens])
+    s = np.array([x for _, x in tokens])
+    drift = max(0.05, 4 * float(p[s > 0] @ s[s > 0])) if len(s) else 1.0
     lo, hi = 1e-6, 50.0
     for _ in range(80):
         mid = (lo + hi) / 2
-        grown = float(p @ np.exp(np.minimum(mid * s, 700))) + (1 - min(rate, 1)) * math.exp(-mid * drift)
+        grown = float(p @ np.exp(np.clip(mid * (s - drift), -700, 700))) + max(0.0, 1 - p.sum()) * math.exp(-mid * drift) if len(s) else 0.0
         lo, hi = (mid, hi) if grown < 1 else (lo, mid)
     return drift, lo
 
@@ -124,7 +130,8 @@ def token_counts(texts: DataFrame) -> DataFrame:
 def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, allowed=None) -> Model:
     """The model of at most ``most`` labelled rows; equal texts count once. With one kind of label, nothing is found toxic.
 
-    To the driver go the LEXICON commonest tokens that toxic texts have over-often, and the passages' scores of the sampled rows.
+    To the driver go the tokens of the sample whose log-odds are told from 0, toxic and clean ones, and what the passages of each
+    sampled row come to. Equal counts give equal scores.
     """
     labels = labels.where(allowed) if allowed is not None else labels
     sample = F.broadcast(sampled_labels(labels, "toxic", most))  # at most ``most`` rows
@@ -134,19 +141,19 @@ def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, allowed=N
     n1, n0 = counted.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
     if not n1 or not n0:
         return Model({}, 1.0, 1.0, 1.0, np.array([-5.0 if n0 or not n1 else 5.0, 0, 0]))
-    often = counted.where((F.col("toxic") >= 5) & (F.col("toxic") * float(n0) >= 3.0 * n1 * F.col("clean"))).orderBy(F.desc("toxic"), "token").limit(LEXICON)
-    counts = [(bytes(w), a, b) for w, a, b in often.collect()]
-    lexicon = log_odds(counts, n1, n0)
-    drift, scale = chance_law(counts, lexicon, n0)
-    model = Model(lexicon, drift, scale, 1.0, np.zeros(3))
+    told = log_odds(counted, n1, n0).where("score <> 0").orderBy("token").toArrow()
+    scores = dict(zip(told.column("token").to_pylist(), told.column("score").to_pylist(), strict=True))
+    drift, scale = chance_law(list(zip(told.column("clean").to_pylist(), scores.values(), strict=True)), n0)
+    model = Model(scores, drift, scale, 1.0, np.zeros(3))
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
         for raw, y in docs:
             found, n = model.passages(raw)
-            yield y, n, [s[2] for s in found]
+            yield y, n, sorted((s[2] for s in found), reverse=True)[:MOST]
 
-    got = map_rows(texts, rows, "toxic int, n long, scores array<double>").collect()
-    got.sort(key=lambda r: (r[0], r[1], r[2]))
+    got = map_rows(texts, rows, "toxic int, n long, scores array<double>").toArrow()
+    got = sorted(zip(*(c.to_pylist() for c in got.columns), strict=True))
+    forget(texts, counted)
     # the mean of an extreme-value law: (log K + Euler's constant) / lambda, after the length is taken off
     peaks = [max(r[2], default=0.0) * scale - math.log(max(r[1], 1)) for r in got if not r[0]]
     model.chance = float(np.clip(math.exp(np.mean(peaks) - 0.5772), 1e-6, 1))
@@ -156,15 +163,22 @@ def learn_from(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, allowed=N
 
 
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score, n_passages, evidence) of every row; null and empty texts have no passage and the lowest score."""
+    """(doc_id, score, n_passages, evidence, passages) of every row: passages are the significant ones, in order, as (start, end, -log E) in bytes.
+
+    Null and empty texts have no passage and the lowest score; rows that repeat score alike; of segments that could be drawn in several
+    ways with one score the shortest and first is taken.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # tokens of SAMPLE texts at most
 
     def rows(docs: Iterator[tuple]) -> Iterator[tuple]:
+        model = sent.value
         for key, raw in docs:
-            best, total, n = model.evidence(raw)
-            yield key, model.value(best, total), n, best
+            best, total, found = model.evidence(raw)
+            yield key, model.value(best, total), len(found), best, [{"start": a, "end": b, "evidence": x} for a, b, x in found]
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_rows(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text")), rows, f"doc_id {kind}, score double, n_passages long, evidence double")
+    inputs = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("text"))
+    return map_rows(inputs, rows, f"doc_id {kind}, score double, n_passages long, evidence double, passages array<struct<start:bigint,end:bigint,evidence:double>>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
