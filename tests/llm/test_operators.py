@@ -175,6 +175,23 @@ def test_repeats(spark, awkward):
     assert out.columns == docs.columns and out.count() == docs.count()
 
 
+def test_each_string_is_in_the_context_of_an_anchor():
+    r = random.Random(11)
+    for _ in range(40):
+        texts = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 260))) if r.random() < 0.5 else b"xy" * r.randint(0, 130) for _ in range(4)]
+        data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+        if len(data) < 100:
+            continue
+        at, _, most, nearest = repeats.anchors(data, ends)
+        spans = [repeats.extent(int(c)) for c in repeats.coded(at, most, nearest)]
+        begin = 0
+        for t in texts:
+            for x in range(begin, begin + len(t) - 99):
+                assert any(lo <= x and x + 100 <= hi for lo, hi, _ in spans)
+            begin += len(t)
+            assert all(lo >= begin or hi <= begin for lo, hi, _ in spans)
+
+
 def test_repeats_of_periodic_and_spliced_texts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(repeats, "SORTED", 4000)
     r = random.Random(2)

@@ -2,7 +2,7 @@
 
 Sharding comes first, the suffix sort after. Of the GRAM-byte strings in a 100-byte string the one with the smallest hash is its
 anchor, so that equal 100-byte strings have equal anchors at equal places. Anchors that come up once in the corpus are let go. Each
-other one is cut out with all 100-byte strings that it can stand for (its context), and the contexts of an anchor go to one shard.
+other one is cut out with all 100-byte strings that it stands for (its context), and the contexts of an anchor go to one shard.
 There, equal contexts become one, and external induced sorting (``suffixes``) finds, by common prefixes of 100 bytes and more, all
 strings that other contexts repeat. Nothing is compared but bytes: hashes only decide what meets.
 """
@@ -53,11 +53,14 @@ def _sliding(x: np.ndarray, k: int, f) -> np.ndarray:
     return f(x[: len(x) - (k - width)], x[k - width :]) if width < k else x
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the anchors in texts laid end to end; ends are the texts' ends."""
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, hashes, most, least) of the anchors in texts laid end to end; ends are the texts' ends.
+
+    The strings that an anchor stands for start between ``most`` and ``least`` bytes before it.
+    """
     n = len(data)
     if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, _U)
+        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
     up, down = _tables(n)
     total = np.zeros(n + 1, _U)
     np.cumsum(_BYTE[data] * up[:n], out=total[1:])
@@ -72,7 +75,26 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     padded[WINDOW - 1 : WINDOW - 1 + len(least)] = least
     top = _sliding(padded, WINDOW, np.maximum)
     at = np.flatnonzero((top == gram) & (gram > 0))
-    return at, gram[at]
+    own = gram[at]
+    most, nearest = np.zeros(len(at), np.int64), np.full(len(at), WINDOW)
+    fenced = np.concatenate([np.zeros(WINDOW, _U), least, np.zeros(WINDOW, _U)])
+    for k in range(WINDOW):
+        mine = fenced[at + (WINDOW - k)] == own
+        most[mine] = k
+        nearest[mine & (nearest == WINDOW)] = k
+    return at, own, most, nearest
+
+
+def coded(place: np.ndarray, most: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+    """A place with the extent of its strings, as one number in order of place."""
+    return (place * WINDOW + most) * WINDOW + nearest
+
+
+def extent(code: int) -> tuple[int, int, int]:
+    """(first byte, end, the anchor's offset) of the context that a number of ``coded`` stands for."""
+    rest, nearest = divmod(code, WINDOW)
+    place, most = divmod(rest, WINDOW)
+    return place - most, place - nearest + LENGTH, most
 
 
 def pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
@@ -103,7 +125,7 @@ def _with_end(batches: Iterator) -> Iterator:
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """(row, places) with the anchors, of rows (row, raw), that the corpus has twice or more.
+    """(row, places) with the anchors (``coded``), of rows (row, raw), that the corpus has twice or more.
 
     A task sends one row for each anchor and batch, and says whether the batch had more; those go along under keys of their own, so
     that a passage in very many texts makes no large group.
@@ -113,11 +135,11 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
         for batch in _batches(docs):
             data = np.frombuffer(b"".join(b[2] for b in batch), np.uint8)
             ends = np.cumsum([len(b[2]) for b in batch])
-            at, gram = anchors(data, ends)
+            at, gram, most, nearest = anchors(data, ends)
             text = np.searchsorted(ends, at, "right")
             starts = np.concatenate([[0], ends[:-1]])
             owner = np.array([b[0][0] for b in batch], np.int64)[text]
-            place = at - starts[text] + np.array([b[1] for b in batch])[text]
+            place = coded(at - starts[text] + np.array([b[1] for b in batch])[text], most, nearest)
             order = np.lexsort((place, owner, gram))
             g, o, p = gram[order].view(np.int64), owner[order], place[order]
             keep = np.ones(len(g), bool)
@@ -199,9 +221,9 @@ def contexts(texts: DataFrame) -> DataFrame:
             spans.clear()
 
         for doc, row, raw, places in docs:
-            for p in sorted(places):
-                lo, hi = max(0, p - WINDOW + 1), min(len(raw), p + LENGTH)
-                key = p - lo, raw[lo:hi]
+            for code in sorted(places):
+                lo, hi, off = extent(code)
+                key = off, raw[lo:hi]
                 at = doc, row, lo
                 had = best.setdefault(key, at)
                 if had is not at and had != at:
@@ -322,6 +344,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
     rows = keyed(docs, doc_id, text).select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("id"), F.col("_tm_row").alias("row"), F.col("_tm_raw").alias("raw"))
     found = stored(repeated_anchors(rows))
     texts = stored(rows.join(found, "row").dropDuplicates(["row"]))
+    forget(found)
     spans = repeat_spans(contexts(texts.select("id", "row", "raw", "places")))
 
     def merge(rows: Iterator[tuple]) -> Iterator[tuple]:
