@@ -409,6 +409,21 @@ def test_nearest(spark, awkward):
     assert [i for _, i, _ in sorted(got[0])] == list(range(1000, 1010))  # copies of the query: ties to the smaller id
 
 
+def test_nearest_of_every_length_and_of_very_common_vectors(spark):
+    rng = np.random.default_rng(4)
+    common_one = rng.normal(size=8).tolist()
+    rows = [(i, common_one) for i in range(0, 3000, 3)] + [(10_000 + i, rng.normal(size=8).tolist()) for i in range(200)] + [(20_000 + i, rng.normal(size=3).tolist()) for i in range(150)]
+    got = {}
+    for r in nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q, v in rows:
+        if q % 100 == 0:
+            want = sorted((float(np.sqrt(((np.array(x) - np.array(v)) ** 2).sum())), i) for i, x in rows if i != q and len(x) == len(v))[:10]
+            if len(v) == 3 or q < 3000:  # no index, or copies
+                assert [(s, i) for _, i, s in sorted(got[q])] == want
+    assert set(got) == {q for q, _ in rows if q % 100 == 0}
+
+
 def test_codes_within_a_radius_are_all_found():
     rng = np.random.default_rng(3)
     code = rng.integers(0, 2**63, 3000).astype(np.uint64)
@@ -475,6 +490,12 @@ def test_pages(spark, awkward):
         wrong += int(((p >= 0.5) != np.array([b.text in kept for b in found])).sum())
         total += len(found)
     assert wrong / total < 0.03
+    for depth in (3, 10, 14, 20):  # boxes under elements that say nothing
+        nest = lambda body: "<div>" * depth + body + "</div>" * depth  # noqa: B023, E731
+        deep = f"<body><article><h1>The title here</h1><p>The first long sentence of the article, which has words.</p><p>And the second one, too.</p></article><aside class='sidebar'>{nest('<p>Other stories that you may like to read.</p>')}</aside><footer>{nest('<p>All rights reserved by us.</p>')}</footer></body>"
+        found = pages.blocks(deep)
+        p = model.labels([pages.vectors(found)])[0]
+        assert [b.text for b, x in zip(found, p) if x >= 0.5] == ["The title here", "The first long sentence of the article, which has words.", "And the second one, too."]
     got = {r.url: r for r in pages.query(spark, awkward[0]).collect()}
     assert got["u0"].text == "a & b\nc d" and got["u1"].text == got["u2"].text == got["u4"].text == "" and all(r.n_chars == len(r.text) for r in got.values())
 

@@ -132,14 +132,15 @@ def blocks(page: str) -> list[Block]:
 @lru_cache(20_000)
 def _path_cells(path: tuple[str, ...]) -> np.ndarray:
     v = np.zeros(PATH, np.float32)
+    weights: dict[str, float] = {}  # wrappers that come again add nothing
     for distance, element in zip(range(len(path), 0, -1), path, strict=True):
-        weight = min(1.0, NEAR / distance)
         tag, *names = element.split(" ")
-        if tag in ("html", "body"):
-            continue
-        for word in (f"<{tag}", *names, f"{tag}.{names[0] if names else ''}"):
-            h = zlib.crc32(word.encode())
-            v[h % PATH] += weight if h >> 16 & 1 else -weight
+        if tag not in ("html", "body"):
+            for word in (f"<{tag}", *names, f"{tag}.{names[0] if names else ''}"):
+                weights[word] = min(1.0, NEAR / distance)
+    for word, weight in weights.items():
+        h = zlib.crc32(word.encode())
+        v[h % PATH] += weight if h >> 16 & 1 else -weight
     return np.clip(v, -3, 3)
 
 
@@ -172,8 +173,8 @@ class Labeller:
             self.w["c" + d] = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype(np.float32)
         self.w["out"] = rng.normal(0, 0.1, 2 * HIDDEN + 1).astype(np.float32)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        """x: time by page by INPUTS; pages that have ended keep their state."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, learn: bool) -> tuple[np.ndarray, list]:
+        """x: time by page by INPUTS; pages that have ended keep their state. Only learning needs the tape of all steps."""
         steps, pages = mask.shape
         h = c = np.zeros((pages, HIDDEN), np.float32)
         a = x @ self.w["x" + d] + self.w["c" + d]
@@ -184,15 +185,17 @@ class Labeller:
             u = np.tanh(g[:, 3 * HIDDEN :])
             m = mask[t][:, None]
             new = f * c + i * u
-            tape.append((h, c, i, f, o, u, np.tanh(new)))
+            bent = np.tanh(new)
+            if learn:
+                tape.append((h, c, i, f, o, u, bent))
             c = np.where(m, new, c)
-            h = np.where(m, o * np.tanh(new), h)
+            h = np.where(m, o * bent, h)
             out[t] = h
         return out, tape
 
-    def forward(self, x: np.ndarray, mask: np.ndarray):
-        f, tape_f = self._run(x, mask, "f")
-        b, tape_b = self._run(x[::-1], mask[::-1], "b")
+    def forward(self, x: np.ndarray, mask: np.ndarray, learn: bool = False):
+        f, tape_f = self._run(x, mask, "f", learn)
+        b, tape_b = self._run(x[::-1], mask[::-1], "b", learn)
         both = np.concatenate([f, b[::-1], np.ones((*mask.shape, 1), np.float32)], 2)
         return sigmoid(both @ self.w["out"]), both, tape_f, tape_b
 
@@ -228,7 +231,7 @@ class Labeller:
                 y = np.zeros(mask.shape, np.float32)
                 for k, (_, label) in enumerate(part):
                     y[: len(label), k] = label
-                prob, both, tape_f, tape_b = self.forward(x, mask)
+                prob, both, tape_f, tape_b = self.forward(x, mask, True)
                 g = np.where(mask, prob - y, 0).astype(np.float32) / mask.sum()
                 grads = {"out": np.tensordot(g, both, ([0, 1], [0, 1]))}
                 gb = g[..., None] * self.w["out"][:-1]
@@ -305,6 +308,13 @@ def generated(rng: np.random.Generator) -> tuple[str, set[str]]:
         body = "".join(f'<{t} class="comment"><p>{words(4, 40)}</p></{t}>' if often(0.7) else f"<p>{words(4, 40)}</p>" for t in [pick("div", "article", "li")] for _ in range(int(rng.integers(1, 6))))
         return a + (f"<h3>{words(1, 3, '')}</h3>" if often(0.5) else "") + body + b
 
+    def wrapped(part: str) -> str:
+        """Some layouts put elements that say nothing around everything."""
+        k = int(rng.integers(1, 18)) if often(0.15) else 0
+        tags = [pick("div", "div", "section", "span", "center") for _ in range(k)]
+        names = ["", "", ' class="row"', ' class="col inner"', ' id="w"', ' class="wrap"']
+        return "".join(f"<{t}{pick(*names)}>" for t in tags) + part + "".join(f"</{t}>" for t in reversed(tags))
+
     kept: set[str] = set()
 
     def own(text: str) -> str:
@@ -334,11 +344,11 @@ def generated(rng: np.random.Generator) -> tuple[str, set[str]]:
                 body.append(f"<{style}>{own(text)}</{style}>")
         return a + "".join(body) + b
 
-    before = [f() for f in (menu, head, advert, notice, side, form) if often(0.4)]
-    after = [f() for f in (comments, side, advert, form, notice, menu) if often(0.3)]
+    before = [wrapped(f()) for f in (menu, head, advert, notice, side, form) if often(0.4)]
+    after = [wrapped(f()) for f in (comments, side, advert, form, notice, menu) if often(0.3)]
     rng.shuffle(before)
     wrap = pick(("", ""), ("", ""), ('<div id="page">', "</div>"), ('<div class="container"><div class="row">', "</div></div>"))
-    page = f"<!DOCTYPE html><html><head><title>{words(1, 6)}</title></head><body>{wrap[0]}{''.join(before)}{article()}{''.join(after)}{foot() if often(0.8) else ''}{wrap[1]}"
+    page = f"<!DOCTYPE html><html><head><title>{words(1, 6)}</title></head><body>{wrap[0]}{''.join(before)}{wrapped(article())}{''.join(after)}{wrapped(foot()) if often(0.8) else ''}{wrap[1]}"
     return page + ("</body></html>" if often(0.9) else ""), kept
 
 
