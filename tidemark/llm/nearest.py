@@ -20,6 +20,8 @@ BITS, SUBSTRING = 64, 16
 #: Different vectors and queries that meet in one task.
 BASE, QUERIES = 20_000, 2_000
 NEAREST = 10
+#: Groups that a very common vector's rows are dealt to.
+SALTS = 8
 #: Share of true neighbours in the sample that the radius must reach.
 REACH = 0.97
 
@@ -86,14 +88,14 @@ class Index:
         found = np.zeros(len(self.code), bool)
         for k, (order, values, starts) in enumerate(self.parts):
             own = np.uint16((int(query) >> (SUBSTRING * k)) & ((1 << SUBSTRING) - 1))
-            for i in np.flatnonzero(np.bitwise_count(values ^ own) <= near):
-                found[order[starts[i] : starts[i + 1]]] = True
+            hit = np.bitwise_count(values ^ own) <= near
+            found[order[np.repeat(hit, np.diff(starts))]] = True
         at = np.flatnonzero(found)
         return at[np.bitwise_count(self.code[at] ^ query) <= radius]
 
 
 def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id long, v binary of doubles): rows with an id and a vector that isn't null, empty or zero and has no null or non-finite part."""
+    """(v, ids, queries) of rows with an id and a vector (binary of doubles) that isn't null, empty or zero and has no null or non-finite part; equal vectors of a batch are one."""
     v = F.col(vector).cast("array<double>")
     good = F.col(vec_id).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
 
@@ -102,71 +104,71 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
         for b in batches:
             held: dict[bytes, list[int]] = {}
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held.setdefault(np.array(x, np.float64).tobytes(), []).append(i)
+                held.setdefault((np.array(x, np.float64) + 0.0).tobytes(), []).append(i)  # -0 is 0
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array([sorted(x)[: NEAREST + 1] for x in held.values()], pa.list_(pa.int64())), pa.array([[i for i in x if i % 100 == 0] for x in held.values()], pa.list_(pa.int64()))], names=["v", "ids", "queries"])
 
     return rows.where(good).select(F.col(vec_id).cast("long"), v.alias("v")).mapInArrow(run, "v binary, ids array<long>, queries array<long>")
 
 
-def distinct_vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(v, ids, queries): different vectors with their NEAREST + 1 smallest ids, and the ids among all that are queries."""
-    partial = usable(rows, vec_id, vector)
-    return partial.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, NEAREST + 1).alias("ids"), F.flatten(F.collect_list("queries")).alias("queries"))
+def distinct_vectors(partial: DataFrame) -> DataFrame:
+    """(v, ids): different vectors with their NEAREST + 1 smallest ids; the copies of a very common one are brought down in SALTS groups first."""
+    smallest = F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, NEAREST + 1).alias("ids")
+    salted = partial.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)))
+    return salted.groupBy("v", "salt").agg(smallest).groupBy("v").agg(smallest)
 
 
 def search(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by 100 the NEAREST nearest other rows found, by Euclidean distance.
 
-    Vectors that are null, empty, zero or hold null or non-finite parts take no part, nor do those whose length isn't the commonest
-    (the smallest of those, if several). Ties go to the smaller id. Equal vectors are one in the index, with their smallest ids, so
-    that copies neither crowd it nor are lost. Each query is held against all vectors, in blocks of BASE by QUERIES; where the radius
-    finds under NEAREST rows in a block, it grows. No usable vector: no rows.
+    Vectors that are null, empty, zero or hold null or non-finite parts take no part; others meet those of their own length. Ties go
+    to the smaller id. Equal vectors are one in the index, with their smallest ids, so that copies neither crowd it nor are lost; a
+    vector is looked up once, whatever number of queries it has. Codes are for the commonest length (the smallest of those, if
+    several); vectors of other lengths are compared without an index. Each query vector is held against all vectors, in blocks of BASE
+    by QUERIES; where the radius finds under NEAREST rows in a block, it grows. No usable vector: no rows.
     """
     spark = rows.sparkSession
-    vectors = stored(distinct_vectors(rows, vec_id, vector).withColumn("h", F.xxhash64("v")))
-    schema = "query_id long, vec_id long, score double"
-    lengths = vectors.groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    partial = stored(usable(rows, vec_id, vector))
+    vectors = stored(distinct_vectors(partial).withColumns({"h": F.xxhash64("v"), "n": F.length("v")}))
+    lengths = vectors.groupBy("n").count().orderBy(F.desc("count"), "n").first()
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors = vectors.where(F.length("v") == lengths["n"])
-    sample = vectors.select("h", "v").orderBy("h", "v").limit(SAMPLE).toArrow()
+    sample = vectors.where(F.col("n") == lengths["n"]).select("h", "v").orderBy("h", "v").limit(SAMPLE).toArrow()
     codes = learn(np.stack([np.frombuffer(v, np.float64) for v in sample.column("v").to_pylist()]))
-    n = vectors.count()
-    asked = vectors.where(F.size("queries") > 0)
-    parts, blocks = -(-n // BASE), -(-max(1, asked.count()) // QUERIES)
+    asked = partial.where(F.size("queries") > 0).select("v", F.explode("queries").alias("query_id"))
+    different = stored(asked.select("v").distinct().withColumns({"h": F.xxhash64("v"), "n": F.length("v")}))
+    parts, blocks = -(-vectors.count() // BASE), -(-max(1, different.count()) // QUERIES)
     by = lambda k, salt: F.pmod(F.xxhash64("h", F.lit(salt)), F.lit(k)).cast("int")
-    base = vectors.select("v", "ids", by(parts, 1).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    queries = asked.select("v", "queries", by(blocks, 2).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    base = vectors.select("v", "ids", "n", by(parts, 1).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    queries = different.select("v", "n", by(blocks, 2).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[bytes, int, float]] = []
         if len(left) and len(right):
             x = np.stack([np.frombuffer(v, np.float64) for v in left.column("v").to_pylist()])
             ids = left.column("ids").to_pylist()
-            index = Index(codes.of(x))
-            q = np.stack([np.frombuffer(v, np.float64) for v in right.column("v").to_pylist()])
-            for vec, code, own in zip(q, codes.of(q), right.column("queries").to_pylist(), strict=True):
-                radius = codes.radius
-                while True:
+            raw = right.column("v").to_pylist()
+            q = np.stack([np.frombuffer(v, np.float64) for v in raw])
+            coded = x.shape[1] == len(codes.mean)
+            index = Index(codes.of(x)) if coded else None
+            for v, vec, code in zip(raw, q, codes.of(q) if coded else [None] * len(q), strict=True):
+                at, radius = np.arange(len(x)), codes.radius
+                while coded:
                     at = index.within(code, radius)
                     if len(at) > NEAREST or radius >= BITS:  # one may be the query's own
                         break
                     radius += 4
                 d = np.sqrt(((x[at] - vec) ** 2).sum(1))
-                near = np.argsort(d, kind="stable")
-                if len(near) > NEAREST + 1:
-                    near = np.flatnonzero(d <= d[near[NEAREST]])
-                found = sorted((float(d[i]), c) for i in near for c in ids[at[i]])
-                for query in own:
-                    rest = list(found)
-                    if (0.0, query) in rest:
-                        rest.remove((0.0, query))
-                    out += [(query, c, s) for s, c in rest[:NEAREST]]
-        return pa.table({"query_id": pa.array([o[0] for o in out], pa.int64()), "vec_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
-
-    met = base.groupBy("part", "block").cogroup(queries.groupBy("part", "block")).applyInArrow(cell, schema)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
+                least = np.partition(d, NEAREST)[NEAREST] if len(d) > NEAREST else np.inf
+                found = sorted((float(d[i]), c) for i in np.flatnonzero(d <= least) for c in ids[at[i]])
+                out += [(v, c, s) for s, c in found[: NEAREST + 1]]
+        return pa.table({"v": pa.array([o[0] for o in out], pa.binary()), "vec_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
+
+    met = base.groupBy("n", "part", "block").cogroup(queries.groupBy("n", "part", "block")).applyInArrow(cell, "v binary, vec_id long, score double")
+    top = lambda key: F.row_number().over(W.partitionBy(key).orderBy("score", "vec_id"))
+    best = met.withColumn("place", top("v")).where(F.col("place") <= NEAREST + 1).drop("place")
+    best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = asked.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int")).join(best, ["v", "salt"]).where("vec_id <> query_id")
+    return both.withColumn("rank", top("query_id")).where(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
