@@ -15,13 +15,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import forget, map_rows, stored, table, utf8
+from tidemark.llm.common import forget, map_rows, stored, summed, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
-#: Rounds in which buckets are held against leaders, cells in which shingles are counted, and rows of a block of pairs.
-ROUNDS, CELLS, BLOCK = 2, 1 << 20, 500
-SPREAD = 128
+#: Rounds in which buckets are held against leaders, rows of a block of pairs, and cells of a text's words in ``spread``.
+ROUNDS, BLOCK, SPREAD = 2, 500, 128
+#: Cells in which words are counted, and pieces in which tasks send them.
+CELLS, PIECES = 1 << 18, 16
 _U = np.uint64
 _ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
@@ -185,19 +186,18 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def counted(words: DataFrame) -> np.ndarray:
-    """How many labelled words fall into each of CELLS cells."""
+    """How many labelled words fall into each of CELLS cells; a task sends its counts in few pieces."""
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
-        cells = np.zeros(CELLS, np.int64)
+        cells = np.zeros(CELLS)
         for (raw,) in texts:
             np.add.at(cells, (labelled(np.frombuffer(raw, np.uint32).astype(_U)) % _U(CELLS)).astype(np.int64), 1)
-        for i in np.flatnonzero(cells):
-            yield int(i), int(cells[i])
+        for k, part in enumerate(np.split(cells, PIECES)):
+            if part.any():
+                yield k, 0, part.tobytes()
 
-    got = map_rows(words.select("words"), rows, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CELLS, np.int64)
-    counts[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return counts
+    got = summed(map_rows(words.select("words"), rows, "k int, n long, blob binary", chunk=4))
+    return np.concatenate([got.get(k, np.zeros(CELLS // PIECES)) for k in range(PIECES)])
 
 
 def spread(words: np.ndarray) -> np.ndarray:
