@@ -40,4 +40,5 @@ def test_query_equals_its_sql(spark, duck, sf_dir, name):
 def test_entry(spark):
     import __spark_entry__
 
-    assert __spark_entry__.entry(spark).columns == ["server_id", "trx", "gtid", "rows"]
+    got = __spark_entry__.entry(spark)
+    assert got.columns == ["server_id", "trx", "gtid", "rows"] and got.count() > 0

@@ -52,6 +52,22 @@ def document(checkpoints: DataFrame) -> DataFrame:
     return checkpoints.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("sink", F.struct("server_id", "log_name", "log_pos")))))).alias("data"))
 
 
+PROGRESS_FIELDS = ("flavor string, server_id bigint, log_name string, log_pos bigint, gset string, ctx map<string,string>")
+
+
+def full_document(checkpoints: DataFrame) -> DataFrame:
+    """(data): all of each sink's progress, with its set, flavour and context, as one JSON document; one row for each sink at most."""
+    fields = [f.split(" ")[0] for f in PROGRESS_FIELDS.split(", ")]
+    return checkpoints.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("sink", F.to_json(F.struct(*fields)).alias("p")))))).alias("data"))
+
+
+def from_document(documents: DataFrame) -> DataFrame:
+    """The checkpoints of JSON documents (data); text that isn't one is an error."""
+    entries = F.from_json("data", "map<string,string>", {"mode": "FAILFAST"})
+    each = documents.select(F.explode(entries).alias("sink", "p"))
+    return each.select("sink", F.from_json("p", PROGRESS_FIELDS, {"mode": "FAILFAST"}).alias("p")).select("sink", "p.*")
+
+
 class FileStore:
     """A checkpoint document in a file, replaced as a whole; damaged text is an error, no file is None."""
 

@@ -32,13 +32,14 @@ def progress() -> Column:
     return F.struct(F.when(F.col("gset").isNull(), F.lit("")).when(F.col("gset").contains(":"), F.lit("mysql")).otherwise(F.lit("mariadb")).alias("flavor"), "server_id", "log_name", "log_pos", "gset")
 
 
-def operation(ops: DataFrame) -> DataFrame:
-    """(seq, operation): each with the fields of its kind, others null. Images are (key, value, props)."""
+def operation(ops: DataFrame, *more: str) -> DataFrame:
+    """(seq, more, operation): each with the fields of its kind, others null. Images are (key, value, props)."""
     kind = F.col("op")
     own = kind.isin(*ROW_OPERATIONS)
     after = image("key", "value", "props")
     return ops.withColumn("gset", F.when(kind.isin("commit", "ddl"), F.col("gtid"))).select(
         "seq",
+        *more,
         F.struct(
             header().alias("header"),
             F.when(kind == "rotate", F.col("log_name")).alias("next_log_name"),
@@ -60,8 +61,9 @@ def as_json(op: Column, pretty: bool = False) -> Column:
     return F.to_json(op, {"ignoreNullFields": "true", "pretty": str(pretty).lower()})
 
 
-def consumer_lines(ops: DataFrame, seq: bool = True, offset: bool = True) -> DataFrame:
-    """Lines of text: sequence number, offset, JSON, joined by tabs."""
+def consumer_lines(ops: DataFrame, seq: bool = True, offset: bool = True, most: int | None = None) -> DataFrame:
+    """Lines of text: sequence number, offset, JSON, joined by tabs; the first ``most`` in order of sequence, if it is given."""
+    ops = ops if most is None else ops.orderBy("seq").limit(most)
     parts = [F.col("seq").cast("string")] * seq + [F.col("offset").cast("string")] * offset + [as_json(F.col("operation"))]
     return ops.select(F.concat_ws("\t", *parts).alias("line"))
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import running
-
 
 def position_key(name: str = "log_name", pos: str = "log_pos") -> Column:
     """Order of positions on one server: file names as text, then the offset. Beyond six digits the text order of names is not that of numbers."""
@@ -38,14 +37,24 @@ def text(progress: str) -> Column:
 
 
 def new_since(df: DataFrame, server_id: int | None, log_name: str = "", log_pos: int = 0) -> DataFrame:
-    """Rows that a sink at this progress has not had: from the first row that is later, or of another server, all are new.
+    """Rows that a sink at this progress has not had: from the first row on that is later or of another server, in order of ``seq``, all are new.
 
-    No progress (None or zero): every row. Servers follow each other by id. The flag runs along the log file by file; whether a server
-    comes before the sink's own, which makes all new, is one number.
+    No progress (None or zero): every row. Servers follow each other as the log has them, whatever their ids are. Where the first new
+    row is comes from one aggregate; nothing is shuffled for it.
     """
     if server_id is None or (not log_name and not log_pos):
         return df
     later = (F.col("server_id") != server_id) | (F.struct("log_name", "log_pos") > F.struct(F.lit(log_name), F.lit(log_pos).cast("long")))
-    first = df.agg(F.min("server_id").alias("_tm_first"))  # one row
-    flagged = running(df, "_tm_new", "max", later.cast("int")).crossJoin(F.broadcast(first))
-    return flagged.where((F.col("_tm_new") == 1) | (F.col("_tm_first") < server_id)).drop("_tm_new", "_tm_first")
+    first = df.where(later).agg(F.min("seq").alias("_tm_first"))  # one row
+    return df.crossJoin(F.broadcast(first)).where(F.col("seq") >= F.col("_tm_first")).drop("_tm_first")
+
+
+def server_changes(df: DataFrame) -> DataFrame:
+    """(server_id, first_seq, old_server): where the log goes on from another server; a row for each server is ordered."""
+    firsts = df.groupBy("server_id").agg(F.min("seq").alias("first_seq"))
+    return firsts.withColumn("old_server", F.lag("server_id").over(W.orderBy("first_seq"))).where("old_server is not null")
+
+
+def newest_progress(df: DataFrame) -> DataFrame:
+    """One row: the position of the last commit or schema change in order of ``seq``, whatever the servers' ids are."""
+    return df.where(F.col("op").isin("commit", "ddl")).agg(F.max_by(F.struct("server_id", "log_name", "log_pos"), F.col("seq")).alias("p")).where("p is not null").select("p.*")

@@ -28,11 +28,22 @@ def fragments(payloads: DataFrame, most: int = MAX_PAYLOAD) -> DataFrame:
     return cut.select("id", "part", "parts", (F.col("part") < F.col("parts") - 1).alias("more_fragment"), piece.alias("payload"))
 
 
-def messages(payloads: DataFrame, producer: int, start: int = 1, most: int = MAX_PAYLOAD) -> DataFrame:
-    """Numbered messages of (id, payload): group_id is the first number of the payload's, only its last one carries its progress."""
-    cut = fragments(payloads, most).withColumn("_tm_order", F.col("id") * 65536 + F.col("part"))
-    out = numbered(cut, "_tm_order", "seq", start, block=1 << 32)
-    return out.select(F.lit(1).cast("long").alias("version"), F.lit(producer).cast("long").alias("producer_id"), "seq", "more_fragment", (F.col("seq") - F.col("part")).alias("group_id"), F.col("id").alias("payload_id"), "payload")
+def messages(payloads: DataFrame, producer: int, start: int = 1, most: int = MAX_PAYLOAD, block: int = 1 << 16) -> DataFrame:
+    """Numbered messages of (id, payload): group_id is the first number of the payload's.
+
+    Numbers come from how many fragments payloads have, summed within blocks of ids and from a row for each block, so that payloads of
+    any size fit.
+    """
+    n = F.greatest(F.lit(1), F.ceil(F.octet_length("payload") / most).cast("int"))
+    own = payloads.withColumn("_tm_n", n).withColumn("_tm_b", F.floor(F.col("id") / block))
+    sizes = own.groupBy("_tm_b").agg(F.sum("_tm_n").alias("_tm_s"))
+    so_far = (W.unboundedPreceding, -1)
+    starts = sizes.select("_tm_b", F.coalesce(F.sum("_tm_s").over(W.orderBy("_tm_b").rowsBetween(*so_far)), F.lit(0)).alias("_tm_s"))
+    before = F.coalesce(F.sum("_tm_n").over(W.partitionBy("_tm_b").orderBy("id").rowsBetween(*so_far)), F.lit(0))
+    first = own.withColumn("_tm_w", before).join(starts, "_tm_b").withColumn("group_id", F.col("_tm_s") + F.col("_tm_w") + start)
+    cut = first.withColumn("_tm_p", F.explode(F.sequence(F.lit(0), F.col("_tm_n") - 1)))
+    piece = F.substring(F.col("payload"), F.col("_tm_p") * most + 1, F.lit(most))
+    return cut.select(F.lit(1).cast("long").alias("version"), F.lit(producer).cast("long").alias("producer_id"), (F.col("group_id") + F.col("_tm_p")).alias("seq"), (F.col("_tm_p") < F.col("_tm_n") - 1).alias("more_fragment"), "group_id", F.col("id").alias("payload_id"), piece.alias("payload"))
 
 
 def accepted(received: DataFrame, block: int = 1 << 16) -> DataFrame:

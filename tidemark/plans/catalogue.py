@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import codec, text
-from tidemark.operators import checkpoint, filters, ops, position, schemas, transport, trx
+from tidemark.operators import checkpoint, filters, gtid, ops, position, schemas, transport, trx
 from tidemark.operators.ordered import previous, running
 from tidemark.sources import synth
 from tidemark.sources.dump import Scope, parsed
 from tidemark.sources.synth import SQL_CHANGES, SQL_OPERATIONS
+from tidemark.streaming import wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-RESUME = (1001, "mysql-bin.000003", 45004)
+RESUME = (1001, "mysql-bin.000001", 45004)
 CLICKS = filters.Sink("clicks", filters.TableFilter((r"shop\.click",)))
 MIXED = filters.TableFilter((r"shop\..*",), (r"\.view$", r"sig.up"))
 
@@ -96,7 +97,7 @@ def sink_fan_out(spark, d):
     return filters.fan_out(synth.operations(spark, d), sinks).groupBy("sink", "op").agg(F.count("*").alias("n"))
 
 
-@query("dedup_by_progress", with_changes("SELECT e, server_id, log_name, log_pos FROM chg WHERE server_id <> 1001 OR (log_name, log_pos) > ('mysql-bin.000003', 45004)"))
+@query("dedup_by_progress", with_changes("SELECT e, server_id, log_name, log_pos FROM chg WHERE server_id <> 1001 OR (log_name, log_pos) > ('mysql-bin.000001', 45004)"))
 def dedup_by_progress(spark, d):
     rows = synth.changes(spark, d).withColumn("seq", F.col("e"))
     return position.new_since(rows, *RESUME).select("e", "server_id", "log_name", "log_pos")
@@ -120,10 +121,41 @@ def previous_operation(spark, d):
 
 @query("server_failover_points", with_changes("SELECT min(e) AS first_e, server_id, lag(server_id) OVER (ORDER BY server_id) AS old_server FROM chg GROUP BY server_id QUALIFY old_server IS NOT NULL"))
 def server_failover_points(spark, d):
-    from pyspark.sql import Window as W
+    return position.server_changes(synth.changes(spark, d).withColumn("seq", F.col("e"))).withColumnRenamed("first_seq", "first_e")
 
-    firsts = synth.changes(spark, d).groupBy("server_id").agg(F.min("e").alias("first_e"))  # a row for each server
-    return firsts.withColumn("old_server", F.lag("server_id").over(W.orderBy("server_id"))).where("old_server is not null")
+
+FAILOVER_SQL = ", moved AS (SELECT * REPLACE (3000 - server_id AS server_id) FROM ops)"
+
+
+def _falling(spark, d):
+    """The log with ids that fall from server to server."""
+    return synth.operations(spark, d).withColumn("server_id", 3000 - F.col("server_id"))
+
+
+@query("dedup_after_failover", with_ops(FAILOVER_SQL + " SELECT seq FROM moved WHERE seq >= (SELECT min(seq) FROM moved WHERE server_id <> 1999 OR (log_name, log_pos) > ('mysql-bin.000001', 50000))").replace("\n,", ",", 1))
+def dedup_after_failover(spark, d):
+    return position.new_since(_falling(spark, d), 1999, "mysql-bin.000001", 50000).select("seq")
+
+
+@query("progress_after_failover", with_ops(FAILOVER_SQL + " SELECT server_id, log_name, log_pos FROM moved WHERE op IN ('commit', 'ddl') ORDER BY seq DESC LIMIT 1").replace("\n,", ",", 1))
+def progress_after_failover(spark, d):
+    return position.newest_progress(_falling(spark, d))
+
+
+@query("failover_points_of_falling_ids", with_ops(FAILOVER_SQL + " SELECT server_id, min(seq) AS first_seq, server_id + 1 AS old_server FROM moved WHERE server_id < 1999 GROUP BY server_id").replace("\n,", ",", 1))
+def failover_points_of_falling_ids(spark, d):
+    return position.server_changes(_falling(spark, d))
+
+
+@query("gtid_start", with_ops("SELECT seq FROM ops WHERE NOT (gno BETWEEN 1 AND 50 OR gno = 77 OR gno BETWEEN 100 AND 120)"))
+def gtid_start(spark, d):
+    return gtid.behind(synth.operations(spark, d), f"{synth.UUID}:1-40:100-120, {synth.UUID}:30-50:77").select("seq")
+
+
+@query("gtid_start_by_domain", with_ops("SELECT seq FROM ops WHERE NOT (gno % 3 = 0 AND gno <= 60 OR gno % 3 = 2 AND gno <= 9)"))
+def gtid_start_by_domain(spark, d):
+    numbered = synth.operations(spark, d).withColumn("gtid", F.concat_ws("-", (F.col("gno") % 3).cast("string"), F.col("server_id").cast("string"), F.col("gno").cast("string")))
+    return gtid.behind(numbered, "0-1001-60,2-1001-9").select("seq")
 
 
 TRX_SQL = "trx AS (SELECT *, sum(CASE WHEN op = 'begin' THEN 1 ELSE 0 END) OVER (PARTITION BY server_id ORDER BY seq)::BIGINT AS trx FROM {0}), inside AS (SELECT * FROM trx WHERE trx > 0 AND op IN ('begin', 'commit', 'insert', 'update', 'delete')), counts AS (SELECT server_id, trx, min(gtid) AS gtid, count(*) FILTER (op IN ('insert', 'update', 'delete')) AS rows, count(*) AS operations, min(seq) AS first_seq, max(seq) AS last_seq FROM inside GROUP BY ALL)"
@@ -140,7 +172,7 @@ def trx_row_counts(spark, d):
     return trx.row_counts(filters.for_sink(synth.operations(spark, d), CLICKS))
 
 
-@query("resumed_trx_row_counts", with_ops(", " + CLICK_SQL + ", fresh AS (SELECT * FROM own WHERE server_id <> 1001 OR (log_name, log_pos) > ('mysql-bin.000003', 45004)), " + TRX_SQL.format("fresh") + " SELECT server_id, trx, gtid, rows FROM counts").replace("\n,", ",", 1))
+@query("resumed_trx_row_counts", with_ops(", " + CLICK_SQL + ", fresh AS (SELECT * FROM own WHERE server_id <> 1001 OR (log_name, log_pos) > ('mysql-bin.000001', 45004)), " + TRX_SQL.format("fresh") + " SELECT server_id, trx, gtid, rows FROM counts").replace("\n,", ",", 1))
 def resumed_trx_row_counts(spark, d):
     return flagship(spark, d)
 
@@ -439,6 +471,34 @@ def consumer_lines(spark, d):
     return ops.consumer_lines(o).select(parts[0].cast("long").alias("seq"), parts[0].alias("first"), parts[1].alias("second"), F.col("line").contains("next_log_name").alias("rotates"))
 
 
+@query("consumer_first_messages", with_ops("SELECT seq FROM ops ORDER BY seq LIMIT 25"))
+def consumer_first_messages(spark, d):
+    o = ops.operation(synth.operations(spark, d)).withColumn("offset", F.col("seq") + 3)
+    return ops.consumer_lines(o, most=25).select(F.split("line", "\t")[0].cast("long").alias("seq"))
+
+
+WIRE_SQL = CLICK_SQL + ", " + TRX_SQL.format("own") + """, g0 AS (SELECT *, trx - row_number() OVER (PARTITION BY server_id ORDER BY trx) AS g FROM counts WHERE rows = 0),
+n0 AS (SELECT *, row_number() OVER (PARTITION BY server_id, g ORDER BY trx) AS k FROM g0), ends AS (SELECT server_id, trx FROM counts WHERE rows > 0 UNION ALL SELECT server_id, trx FROM n0 WHERE k % 1000 = 0),
+fl AS (SELECT *, CASE WHEN op IN ('ddl', 'rotate') OR (op = 'commit' AND (server_id, trx) IN (SELECT (server_id, trx) FROM ends)) THEN 1 ELSE 0 END AS f FROM trx),
+gr AS (SELECT *, sum(f) OVER (PARTITION BY server_id ORDER BY seq) - f AS g FROM fl), whole AS (SELECT *, max(f) OVER (PARTITION BY server_id, g) AS w FROM gr)"""
+
+
+@query("kafka_messages", with_ops(", " + WIRE_SQL + """ SELECT server_id, log_pos, type::INT AS type, coalesce("table", '') AS "table", CASE WHEN op = 'gtid' THEN gtid ELSE '' END AS gtid, CASE WHEN op IN ('commit', 'ddl') THEN gtid ELSE '' END AS gset, count(*) AS n FROM whole WHERE w = 1 GROUP BY ALL""").replace("\n,", ",", 1))
+def kafka_messages(spark, d):
+    sent = wire.messages(filters.for_sink(synth.operations(spark, d), CLICKS), 7, 100, 300, codec.ZLIB)
+    raw = wire.on_the_wire(sent).withColumn("copy", F.explode(F.sequence(F.lit(1), 1 + (F.col("seq") % 3 == 0).cast("int"))))  # some come twice
+    back = raw.select(F.col("seq").alias("offset"), wire.off_the_wire(F.col("value")).alias("m")).select("offset", "m.*")
+    o = wire.operations(back).select("operation.*")
+    return o.groupBy("header.server_id", "header.log_pos", "header.type", F.coalesce("table.name", F.lit("")).alias("table"), "gtid", F.coalesce("progress.gset", F.lit("")).alias("gset")).agg(F.count("*").alias("n"))
+
+
+@query("checkpoint_document", with_ckp("SELECT sink, 'mysql' AS flavor, server_id, log_name, log_pos, CASE WHEN log_name <> '' THEN 'u:1-' || log_pos END AS gset, log_pos + 1 AS acked FROM c"))
+def checkpoint_document(spark, d):
+    c = _checkpoints(spark, d).select("sink", F.lit("mysql").alias("flavor"), "server_id", "log_name", "log_pos", F.when(F.col("log_name") != "", F.concat(F.lit("u:1-"), F.col("log_pos").cast("string"))).alias("gset"), F.create_map(F.lit("acked"), (F.col("log_pos") + 1).cast("string")).alias("ctx"))
+    back = checkpoint.from_document(checkpoint.full_document(c))
+    return back.select("sink", "flavor", "server_id", "log_name", "log_pos", "gset", F.col("ctx")["acked"].cast("long").alias("acked"))
+
+
 @query("changelog_materialise", with_changes("""SELECT database, "table", key, arg_max(value, e) AS value, max(e) AS last_e FROM chg GROUP BY ALL HAVING arg_max(action, e) <> 'delete'"""))
 def changelog_materialise(spark, d):
     return ops.materialised(synth.changes(spark, d))
