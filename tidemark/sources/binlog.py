@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
+from tidemark.operators.gtid import flavour, parsed
+
 SCHEMA = "seq bigint, server_id bigint, log_name string, log_pos bigint, op string, timestamp bigint, gtid string, database string, table string, statement string"
 COLUMNS = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
 
@@ -14,6 +16,7 @@ COLUMNS = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
 class FilePart(InputPartition):
     path: str
     after: tuple[int, str, int]
+    gset: str = ""
 
 
 def options_of(options: dict) -> dict:
@@ -35,14 +38,28 @@ def files(path: str) -> list[str]:
     return sorted(ds.dataset(path, format="parquet").files)
 
 
-def rows(path: str, after: tuple[int, str, int]):
+def behind(found, after: tuple[int, str, int], gset: str = ""):
+    """Rows behind a position of their server (rows of another server are all behind it), of transactions that the set doesn't have."""
+    server, name, pos = after
+    known, by_uuid = parsed(gset), flavour(gset) == "mysql"
+
+    def had(gtid: str | None) -> bool:
+        if by_uuid:
+            source, _, number = (gtid or "").partition(":")
+        else:
+            source, _, number = (*(gtid or "").split("-"), "", "", "")[:3]
+        return number.isdigit() and any(lo <= int(number) <= hi for lo, hi in known.get(source.lower(), ()))
+
+    for r in found:
+        if (r[1] != server or (r[2], r[3]) > (name, pos)) and not (known and had(r[6])):
+            yield r
+
+
+def rows(path: str, after: tuple[int, str, int], gset: str = ""):
     import pyarrow.dataset as ds
 
-    server, name, pos = after
     for b in ds.dataset(path, format="parquet").to_batches(columns=COLUMNS):
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if (r[1], r[2], r[3]) > (server, name, pos):
-                yield r
+        yield from behind(zip(*(c.to_pylist() for c in b.columns), strict=True), after, gset)
 
 
 class BinlogSource(DataSource):
@@ -71,31 +88,41 @@ class BinlogReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[FilePart]:
-        return [FilePart(f, _start(self.options)) for f in files(self.options["path"])]
+        return [FilePart(f, _start(self.options), self.options.get("gset", "")) for f in files(self.options["path"])]
 
     def read(self, partition: FilePart):
-        return rows(partition.path, partition.after)
+        return rows(partition.path, partition.after, partition.gset)
 
 
 class BinlogStream(SimpleDataSourceStreamReader):
-    """For control streams: each batch is read on the driver, ``batchsize`` rows at most, from the offset on."""
+    """For control streams: each batch is read on the driver, in order of ``seq``, ``batchsize`` rows at most and whole positions.
+
+    The offset is the last sequence number that was read. A batch's end comes from the sequence numbers alone; only its own rows are
+    read, from the row groups that can have them.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options, self.most = options, int(options.get("batchsize", 10_000))
 
     def initialOffset(self) -> dict:
-        server, name, pos = _start(self.options)
-        return {"server_id": server, "log_name": name, "log_pos": pos}
+        return {"seq": -1}
+
+    def _numbers(self, after: int) -> list[int]:
+        import pyarrow.dataset as ds
+
+        found = ds.dataset(files(self.options["path"]), format="parquet").to_table(columns=["seq"], filter=ds.field("seq") > after)
+        return sorted(found.column("seq").to_pylist())[: self.most]
+
+    def _between(self, start: int, end: int):
+        import pyarrow.dataset as ds
 
-    def _after(self, start: dict) -> list[tuple]:
-        at = start["server_id"], start["log_name"], start["log_pos"]
-        return sorted((r for f in files(self.options["path"]) for r in rows(f, at)), key=lambda r: (r[1], r[2], r[3], r[0]))
+        t = ds.dataset(files(self.options["path"]), format="parquet").to_table(columns=COLUMNS, filter=(ds.field("seq") > start) & (ds.field("seq") <= end)).sort_by("seq")
+        return iter(list(behind(zip(*(c.to_pylist() for c in t.columns), strict=True), _start(self.options), self.options.get("gset", ""))))
 
     def read(self, start: dict):
-        got = self._after(start)[: self.most]
-        end = {"server_id": got[-1][1], "log_name": got[-1][2], "log_pos": got[-1][3]} if got else start
-        return iter(got), end
+        numbers = self._numbers(start["seq"])
+        end = {"seq": numbers[-1]} if numbers else start
+        return self._between(start["seq"], end["seq"]), end
 
     def readBetweenOffsets(self, start: dict, end: dict):
-        last = end["server_id"], end["log_name"], end["log_pos"]
-        return iter([r for r in self._after(start) if (r[1], r[2], r[3]) <= last])
+        return self._between(start["seq"], end["seq"])

@@ -55,6 +55,10 @@ class History:
     def reset(self) -> None:
         self.spark.createDataFrame([], SCHEMA_HISTORY).write.mode("overwrite").parquet(self.path)
 
+    def exists(self) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+
     def rows(self) -> DataFrame:
         return self.spark.read.schema(SCHEMA_HISTORY).parquet(self.path)
 
