@@ -159,7 +159,7 @@ class Engine:
                 continue
             at = self.resumed[name]
             own = new_since(ops, at["server_id"], at["log_name"], at["log_pos"]) if at.get("log_name") else ops
-            handler.write(for_sink(own, Sink(name, handler.rule)), number * 1000 + part if part else number)
+            handler.write(for_sink(own, Sink(name, handler.rule)), number * 1_000_000 + part)  # a number for each part of a batch
             if end is not None and (state.get("server_id"), state.get("log_name"), state.get("log_pos")) != tuple(end):
                 state |= {"server_id": end["server_id"], "log_name": end["log_name"], "log_pos": end["log_pos"]}
             state["ctx"] = {**had, **handler.context(), "batch": number, "part": part}
