@@ -30,8 +30,6 @@ COMMON, SMALL, LARGE = 1_024, 32, 128
 WORDS_BACK, WIDTH, BATCH = 3, 16, 4096
 #: Noise samples: clusters for a batch, classes for each cluster of a batch.
 NOISE, INNER_NOISE = 24, 3
-#: One place in so many is predicted in training, another one in the next text; all places are context, and all texts are read.
-STRIDE = 2
 #: Tokens of a shard, about: each trains a copy of the first network, and what shards learned is averaged.
 SHARD = 1 << 22
 #: Blocks of classes in which shards are summed.
@@ -363,7 +361,7 @@ def train(texts: DataFrame, words: Lexicon, tokens: int) -> Network:
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
         classes = sent.value
-        at, trainer, held, waiting, texts_seen = None, None, [], 0, 0
+        at, trainer, held, waiting = None, None, [], 0
 
         def learn() -> None:
             nonlocal held, waiting
@@ -388,13 +386,10 @@ def train(texts: DataFrame, words: Lexicon, tokens: int) -> Network:
             if shard != at:
                 if at is not None:
                     yield from done()
-                at, trainer, held, waiting, texts_seen = shard, Trainer(Network.fresh(classes), shard + 1), [], 0, 0
+                at, trainer, held, waiting = shard, Trainer(Network.fresh(classes), shard + 1), [], 0
             ids = np.frombuffer(raw, np.int16)
-            first = texts_seen % STRIDE
-            texts_seen += 1
-            if first < len(ids):
-                held.append((histories(ids, classes.start)[first::STRIDE], ids[first::STRIDE]))
-                waiting += len(held[-1][1])
+            held.append((histories(ids, classes.start), ids))
+            waiting += len(ids)
             if waiting >= 4 * BATCH:
                 learn()
         if at is not None:
