@@ -22,7 +22,7 @@ SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
 #: Rounds in which buckets are held against leaders, rows of a block of pairs, and cells of a text's words in ``spread``.
 ROUNDS, BLOCK, SPREAD = 2, 500, 128
 #: Cells in which words are counted, and pieces in which tasks send them.
-CELLS, PIECES = 1 << 18, 16
+CELLS, PIECES = 1 << 20, 64
 _U = np.uint64
 _ODD = mix(np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _ADD = mix(_ODD)
