@@ -310,6 +310,26 @@ def test_linked_texts_share_one_of_their_rarest_words():
     assert met > 100
 
 
+@pytest.mark.parametrize(("wide", "block"), [(0, 7), (0, 500), (30, 7), (4096, 7), (4096, 500)])
+def test_members_of_a_bucket_meet_in_blocks_and_by_their_rarest_words(spark, monkeypatch, wide, block):
+    r = random.Random(13)
+    bases = [[r.randint(1, 4000) for _ in range(r.choice([12, 60, 150]))] for _ in range(12)]
+    texts = [[r.randint(1, 4000) if r.random() < 0.1 else w for w in bases[i % 12]] for i in range(90)]
+    hashes = [hashing.mix(np.array(t, np.uint64)).astype(np.uint32) for t in texts]
+    node = [bytes([k, 7]) for k in range(90)]
+    shared = {(b, k) for k in range(90) for b in (k % 12, 100, 101) if b < 100 or r.random() < 0.8}
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    words = spark.createDataFrame([(node[k], bytearray(h.tobytes())) for k, h in enumerate(hashes)], "node binary, words binary")
+    members = spark.createDataFrame([(b, node[k]) for b, k in shared], "bucket long, node binary")
+    roots = spark.createDataFrame([(node[k], node[k % 12]) for k in range(0, 90, 5)], "node binary, root binary")
+    root = {k: k % 12 if k % 5 == 0 else k for k in range(90)}
+    got = [(bytes(x.a)[0], bytes(x.b)[0]) for x in neardup.alike(members, words, roots, wide).collect()]
+    assert len(got) == len(set(got)) and all(a < b and root[a] != root[b] for a, b in got)
+    together = {(a, b) for b in range(90) for a in range(b) if root[a] != root[b] and any((k, a) in shared and (k, b) in shared for k in [*range(12), 100, 101])}
+    near = {(a, b) for a, b in together if edits(texts[a], texts[b]) <= 0.2 * max(len(texts[a]), len(texts[b]))}
+    assert len(near) > 50 and near <= set(got) <= together
+
+
 def test_near_duplicates_reach_pairs_of_low_shingle_similarity(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text").collect()
     got = {r.doc_id: r.class_id for r in neardup.query(spark, sf_dir).collect()}

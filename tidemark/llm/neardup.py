@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +19,10 @@ from tidemark.llm.common import forget, map_rows, stored, summed, table, utf8
 from tidemark.llm.hashing import labelled, mix, run_hashes, word_hashes
 
 SHINGLE, ELL, BANDS, LEAST = 5, 2, 12, 0.8
-#: Rounds in which buckets are held against leaders, rows of a block of pairs, and cells of a text's words in ``spread``.
-ROUNDS, BLOCK, SPREAD = 2, 500, 128
+#: Rounds in which buckets are held against leaders, and cells of a text's words in ``spread``.
+ROUNDS, SPREAD = 2, 2048
+#: Rows of a block, two of which are paired at once, and members of a bucket up to which it is paired as it is, not word by word.
+BLOCK, WIDE = 256, 4096
 #: Cells in which words are counted, and pieces in which tasks send them.
 CELLS, PIECES = 1 << 20, 64
 _U = np.uint64
@@ -205,40 +207,72 @@ def spread(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((words >> _U(7)).astype(np.int64) % SPREAD, minlength=SPREAD), 127).astype(np.int8)
 
 
-def alike(members: DataFrame, words: DataFrame, roots: DataFrame) -> DataFrame:
+def met(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Pairs (a, b) that may be linked, from rows (run, i, j, block, bucket, node, root, rest, n, spread, buckets) in order of (run, i, j).
+
+    Members of block i are held against those of block j. Of the buckets that a pair shares only the smallest one yields it.
+    """
+    for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
+        block, bucket, node, root, rest, n, cells, buckets = zip(*(r[3:] for r in group), strict=True)
+        block, bucket, rest, n = np.array(block), np.array(bucket), np.array(rest), np.array(n)
+        root = np.unique(np.array(root, object), return_inverse=True)[1]
+        cells = np.frombuffer(b"".join(cells), np.int8).reshape(-1, SPREAD)
+        if i == j:
+            a, b = np.triu_indices(len(n), 1)
+        else:
+            x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            a, b = np.repeat(x, len(y)), np.tile(y, len(x))
+        longest = np.maximum(n[a], n[b])
+        may = (root[a] != root[b]) & (bucket[a] == bucket[b]) & (np.minimum(rest[a], rest[b]) >= LEAST * longest - 1e-9)
+        a, b, longest = a[may], b[may], longest[may]
+        for at in range(0, len(a), 2048):
+            p, q = a[at : at + 2048], b[at : at + 2048]
+            apart = np.abs(cells[p] - cells[q]).sum(1, dtype=np.int32)
+            near = apart <= n[p] + n[q] - 2 * LEAST * longest[at : at + 2048] + 1e-9
+            for k, m in zip(p[near].tolist(), q[near].tolist(), strict=True):
+                if min(set(buckets[k]).intersection(buckets[m])) == bucket[k]:
+                    yield min(node[k], node[m]), max(node[k], node[m])
+
+
+def alike(members: DataFrame, words: DataFrame, roots: DataFrame, wide: int = WIDE) -> DataFrame:
     """Pairs (a, b) of members (bucket, node) that share a bucket and have different roots, among them all that are linked.
 
-    A link leaves LEAST of the longer text's words in common. In any one order of all words two such texts share one of their first
-    fifths (``rarest``), and from the first that they share on each has enough left. In the order of rarity what is common to many
-    texts comes last, and unlike texts of a bucket hardly meet; those that do are told apart by their words' ``spread``, which differs
-    by n1 + n2 - 2 * LEAST * longest at most in linked ones. Large groups are paired in blocks.
+    A bucket of up to ``wide`` members is one group. In a larger one only those meet that share a rare word: a link leaves LEAST of the
+    longer text's words in common, so in any one order of all words two such texts share one of their first fifths (``rarest``), and
+    from the first that they share on each has enough left; in the order of rarity what is common to many texts comes last, and unlike
+    texts hardly meet. Groups are dealt out as pairs of blocks, and texts that meet are told apart by their words' ``spread``, which
+    differs by n1 + n2 - 2 * LEAST * longest at most in linked ones; no pair that it tells apart becomes a row.
     """
-    counts = words.sparkSession.sparkContext.broadcast(counted(words))
+    marked = members.join(members.groupBy("bucket").agg((F.count("*") > wide).alias("large")), "bucket")
+    own = marked.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.collect_set(F.expr("if(large, bucket, null)")).alias("large"))
+    own = stored(own)
+    counts = words.sparkSession.sparkContext.broadcast(None if own.where("size(large) > 0").isEmpty() else counted(words))
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
-        for node, raw, buckets, root in texts:
-            own = np.frombuffer(raw, np.uint32).astype(_U)
-            for i, word in enumerate(rarest(own, counts.value).tolist()):
-                for bucket in buckets:
-                    yield mixed(word, bucket), node, root, len(own) - i, len(own)
-
-    held = members.groupBy("node").agg(F.collect_set("bucket").alias("buckets")).join(words, "node").join(roots, "node", "left")
-    inputs = held.select("node", "words", "buckets", F.coalesce("root", "node").alias("root"))
-    first = stored(map_rows(inputs, rows, "run long, node binary, root binary, rest int, n int", chunk=20_000))
-    groups = first.groupBy("run").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    first = first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run")
+        for node, raw, buckets, large, root in texts:
+            text = np.frombuffer(raw, np.uint32).astype(_U)
+            rare = rarest(text, counts.value).tolist() if large else []
+            for bucket in buckets:
+                if bucket not in large:
+                    yield bucket, bucket, node, root, len(text), len(text)
+                    continue
+                for i, word in enumerate(rare):
+                    yield mixed(word, bucket), bucket, node, root, len(text) - i, len(text)
 
     def spreads(texts: Iterator[tuple]) -> Iterator[tuple]:
-        for node, raw in texts:
-            yield node, spread(np.frombuffer(raw, np.uint32).astype(_U)).tolist()
+        for node, raw, buckets in texts:
+            yield node, spread(np.frombuffer(raw, np.uint32).astype(_U)).tobytes(), buckets
 
-    first = stored(first.join(map_rows(words.select("node", "words"), spreads, "node binary, spread array<tinyint>"), "node"))
-    x = first.select("run", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.col("node").alias("a"), F.col("root").alias("r1"), F.col("rest").alias("rest1"), F.col("n").alias("n1"), F.col("spread").alias("s1"))
-    y = first.select("run", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("b"), F.col("root").alias("r2"), F.col("rest").alias("rest2"), F.col("n").alias("n2"), F.col("spread").alias("s2"))
-    longest = F.greatest("n1", "n2")
-    apart = F.aggregate(F.zip_with("s1", "s2", lambda p, q: F.abs(p - q)), F.lit(0), lambda t, v: t + v)
-    enough = (F.least("rest1", "rest2") >= LEAST * longest - 1e-9) & (apart <= F.col("n1") + F.col("n2") - 2 * LEAST * longest + 1e-9)
-    return x.join(y, ["run", "block"]).where((F.col("a") < F.col("b")) & (F.col("r1") != F.col("r2")) & enough).select("a", "b").distinct()
+    inputs = own.join(words, "node").join(roots, "node", "left").select("node", "words", "buckets", "large", F.coalesce("root", "node").alias("root"))
+    first = stored(map_rows(inputs, rows, "run long, bucket long, node binary, root binary, rest int, n int", chunk=20_000))
+    groups = first.groupBy("run").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    first = first.join(groups.select("run", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "run")
+    marks = map_rows(own.join(words, "node").select("node", "words", "buckets"), spreads, "node binary, spread binary, buckets array<long>")
+    dealt = first.join(marks, "node").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("run", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "bucket", "node", "root", "rest", "n", "spread", "buckets")
+    dealt = dealt.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
+    return map_rows(dealt, met, "a binary, b binary").distinct()
 
 
 def mixed(word: int, bucket: int) -> int:
@@ -253,8 +287,8 @@ def connected(sketched: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
     The members of a bucket (a band's value) are first held against its two leaders, those whose buckets are largest: a base text is
     in the largest ones, so its copies meet it. Where some are not connected, two others lead. All of a bucket that then still has
-    members of different groups meet by their rarest words (``alike``), which loses no pair that may be linked: every pair that shares
-    a bucket is decided, unless both are connected already.
+    members of different groups meet (``alike``), which loses no pair that may be linked: every pair that shares a bucket is decided,
+    unless both are connected already.
     """
     spark = docs.sparkSession
     members = sketched.select("node", "bands").where(F.size("bands") > 0).dropDuplicates(["node"]).select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
