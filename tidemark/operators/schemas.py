@@ -233,15 +233,26 @@ def folded(statements: Iterable[tuple[int, str, int, str, str]], mirror: Mirror
     return history, failed
 
 
-def bound(rows: DataFrame, history: DataFrame) -> DataFrame:
+def bound(rows: DataFrame, history: DataFrame, block: int = 1 << 16) -> DataFrame:
     """rows with version (the history's seq) of their table that held at their seq; null before the first.
 
-    history is (database, table, seq, version). Its intervals are joined on the table's name; a version that ends keeps to its own
-    interval, so that a row meets one at most. A broadcast is left to the planner, which knows the history's size.
+    history is (database, table, seq, version). Its records stand among the rows as markers, and the last one is carried forward within
+    a table and block of seq; what a block starts with comes from one row for each. So no row is held against all versions of its table,
+    and a busy table is many tasks. A version that is null (a table removed) is carried as such; of records with one seq the greatest
+    version holds. Rows without a database or table get null.
     """
-    spans = history.select(F.col("database").alias("_tm_db"), F.col("table").alias("_tm_t"), F.col("seq").alias("_tm_from"), F.lead("seq").over(W.partitionBy("database", "table").orderBy("seq")).alias("_tm_to"), "version")
-    inside = (F.col("database") == F.col("_tm_db")) & (F.col("table") == F.col("_tm_t")) & (F.col("seq") >= F.col("_tm_from")) & (F.col("_tm_to").isNull() | (F.col("seq") < F.col("_tm_to")))
-    return rows.join(spans, inside, "left").drop("_tm_db", "_tm_t", "_tm_from", "_tm_to")
+    key = ["database", "table", "_tm_b"]
+    marks = history.where("database is not null and table is not null").select("database", "table", "seq", F.struct("version").alias("_tm_v"))
+    together = rows.withColumn("_tm_row", F.lit(True)).unionByName(marks, allowMissingColumns=True).withColumn("_tm_b", F.floor(F.col("seq") / block))
+    is_mark = F.col("_tm_v").isNotNull()
+    ends = together.groupBy(*key).agg(F.max(F.when(is_mark, F.struct("seq", "_tm_v"))).alias("_tm_e"))
+    earlier = W.partitionBy("database", "table").orderBy("_tm_b").rowsBetween(W.unboundedPreceding, -1)
+    starts = ends.select(*key, F.last("_tm_e", ignorenulls=True).over(earlier).getField("_tm_v").alias("_tm_s"))
+    # a marker comes before the rows of its own seq
+    so_far = W.partitionBy(*key).orderBy("seq", F.col("_tm_row").asc_nulls_first(), "_tm_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    carried = together.withColumn("_tm_l", F.last("_tm_v", ignorenulls=True).over(so_far)).where("_tm_row")
+    held = F.coalesce("_tm_l", "_tm_s").getField("version")
+    return carried.join(starts, key, "left").select(*rows.columns, held.alias("version"))
 
 
 def with_fallback(bound_rows: DataFrame, strict: bool = False) -> DataFrame:
