@@ -222,7 +222,7 @@ def column_values_text(spark, d):
     return ev.select("event_id", text.wire_value(F.col("t")).alias("x"), text.wire_value(F.col("user_id")).alias("y"), text.wire_value(F.col("v")).alias("z")).select("event_id", F.col("x.is_null").alias("a_null"), F.col("x.value").alias("a"), F.col("y.value").alias("b"), F.col("z.value").alias("c"))
 
 
-STATEMENTS = ["   drop    table test1", "DROP\r\nTABLE test1", "--comment \nDROP TABLE test1", "#comment \nDROP TABLE test1", "/*hint*/ DROP   /*com\nment*/   TABLE \ntest1", "begin", "Commit", "grant all on x", "create schema s", "drop database s", "insert into t values (1)", "alter table a add b int"]
+STATEMENTS = ["\t create\n\nview  v as\r\nselect 1", "-- first\n-- second\nalter  table é add x int", "  # why\ntruncate t", "/* one */rename /* two\n * lines */ table p to q", "commit", "BEGIN", "revoke select on p from q", "drop schema\tp", "CREATE  DATABASE p", "update p set x = 1", "flush tables", ""]
 _LITERALS = values_sql([(i, s) for i, s in enumerate(STATEMENTS)], "id, s")
 
 
@@ -265,7 +265,7 @@ def schema_missing_fallback(spark, d):
     return schemas.with_fallback(schemas.bound(rows, _history(spark, d))).select("seq", "table", "version")
 
 
-DUMP = ["CHANGE MASTER TO MASTER_LOG_FILE='mysql-bin.000007', MASTER_LOG_POS=1234;", "SET @@GLOBAL.GTID_PURGED='cb477437-aacb-11e8-90e7-0242ac110002:1-10';", "SET GLOBAL gtid_slave_pos='0-1-42';", "USE `shop`;", "CREATE TABLE `note` (`id` int);", "INSERT INTO `note` VALUES ('title', 'here is sql: INSERT INTO `table` VALUES (\\'some value\\')');", "INSERT INTO `a.b` VALUES ('1');", "INSERT INTO `test` VALUES (1, 'first', 'hello mysql; 2', 'e1', 'a,b');", "/* nothing */;"]
+DUMP = ["CHANGE MASTER TO MASTER_LOG_FILE='log-bin.123456', MASTER_LOG_POS=98765432101;", "-- CHANGE MASTER TO MASTER_LOG_FILE='b.000001', MASTER_LOG_POS=4;", "SET @@GLOBAL.GTID_PURGED='0f0e0d0c-0000-1111-2222-333344445555:1-7:9';", "SET GLOBAL gtid_slave_pos='5-6-7,8-9-10';", "USE `größe`;", "CREATE\tTABLE `t` (`x` text);", "CREATED `t`;", "INSERT INTO `t` VALUES ('USE `t`;', NULL, 'x), (\\'y');", "INSERT INTO `t u` VALUES ();", "INSERT INTO `t` VALUES (1, 2)", ""]
 _DUMP = values_sql([(i, s) for i, s in enumerate(DUMP)], "id, statement")
 
 
