@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -403,6 +404,32 @@ def test_views_teach_each_other_over_the_whole_pool(spark):
     assert np.mean([(got[i] >= 0.5) == y[i] for i in range(60, 3000)]) > 0.85
 
 
+def test_cotraining_holds_labelled_rows_once_on_the_driver(spark):
+    """Before: lists of bytes, their concatenation, doubles and a copy of these, over 5,900 bytes a row of 1,112."""
+    n = 8000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word', id % 97, ' calm ', if(id % 3 > 0, 'odd ', 'even '), id) AS text", "'en' AS lang", "substr('abc', 1 + cast(id % 3 AS int), 1) AS source")
+    labels = spark.range(n).selectExpr("id AS doc_id", "if(id % 5 > 0 OR id % 3 > 0, 1, 0) AS quality")
+    tracemalloc.start()
+    model = cotraining.learn_from(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3000 * n and np.abs(model.text.weights).max() > 0 and np.abs(model.metadata.weights).max() > 0
+
+
+def test_metadata_is_ones_and_a_cell_of_each_column():
+    x = cotraining.Metadata(np.frombuffer(cotraining.metadata_cells("en", None) + cotraining.metadata_cells(None, "web"), np.uint8).reshape(-1, 2))
+    cell = lambda v: 1 + zlib.crc32(v.encode()) % (cotraining.CELLS - 1)
+    assert [np.flatnonzero(row).tolist() for row in x[:]] == [[0, 1 + cell("en"), 1 + cotraining.CELLS], [0, 1, 1 + cotraining.CELLS + cell("web")]] and x[:].max() == 1 and x[1:].shape == (1, cotraining.META)
+
+
+@pytest.mark.parametrize("rows", [1, 7, 400, 1000])
+def test_logistic_fit_doesnt_depend_on_its_parts(rows):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([np.ones(400), rng.normal(size=(400, 3))]).astype(np.float32)
+    y = (x[:, 1] + rng.normal(size=400) > 0).astype(float)
+    assert common.fit_logistic(x, y, rows=rows) == pytest.approx(common.fit_logistic(x.astype(float), y), abs=1e-9)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 1), (2, 1, 1)], [(1, 0, 0), (2, 0, 0)]])
 def test_labels_of_one_kind_or_none(spark, awkward, tmp_path, labels):
     top, rows = awkward

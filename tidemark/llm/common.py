@@ -157,14 +157,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 25) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; x needs its own column of ones."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 25, rows: int | None = None) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; x needs its own column of ones. Slices of ``rows`` rows of x (None: all) are taken as doubles at once."""
     w = np.zeros(x.shape[1])
     weight = np.ones(len(y)) if weight is None else weight
     for _ in range(steps):
-        p = sigmoid(x @ w)
-        g = x.T @ (weight * (p - y)) + ridge * len(y) * w
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + (ridge * len(y) + 1e-6) * np.eye(x.shape[1])
+        g, h = ridge * len(y) * w, (ridge * len(y) + 1e-6) * np.eye(x.shape[1])
+        for at in range(0, len(y), rows or max(1, len(y))):
+            s = slice(at, at + rows if rows else None)
+            part = np.asarray(x[s], float)
+            p = sigmoid(part @ w)
+            g = part.T @ (weight[s] * (p - y[s])) + g
+            h = (part * (weight[s] * p * (1 - p))[:, None]).T @ part + h
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-7:
